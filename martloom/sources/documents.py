@@ -28,6 +28,7 @@ QUARANTINE_SCHEMA = T.StructType(
 )
 
 _SCALAR_ARRAY = r"^ARRAY<(VOID|STRING|BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE|BOOLEAN)>$"
+_END_MARK = 7
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 # JSON text of the values that count as "no value" for an optional time.
 _EMPTY_VALUES = ("null", '""', "0", "0.0", "-0.0", "false", "[]", "{}")
@@ -111,9 +112,9 @@ def _has_time(column: RawColumn) -> Column:
     return _raw(column).isNotNull() & ~F.to_json(_raw(column)).isin(*_EMPTY_VALUES)
 
 
-def _typed(column: RawColumn) -> Column:
+def _value(column: RawColumn) -> Column:
+    """The value in its Spark type, times and limited texts still as they were written."""
     if column.kind is Kind.TIME:
-        # The text; it becomes a time in a step of its own.
         return F.when(_has_time(column), _get(column, "string"))
     if column.kind is Kind.JSON:
         present = F.to_json(_raw(column))
@@ -123,8 +124,6 @@ def _typed(column: RawColumn) -> Column:
         present = _number(column)
     else:
         present = _get(column, "string")
-        if column.max_length is not None:
-            present = cut_blank_tail(present, column.max_length)
     return F.when(_raw(column).isNull(), _default(column)).otherwise(present)
 
 
@@ -144,7 +143,8 @@ def _type_error(column: RawColumn) -> Column | None:
     if column.kind in (Kind.TIME, Kind.JSON):
         return None
     if column.kind is Kind.TEXT:
-        looks_nested = F.col(column.name).rlike(r"^[\[{]")
+        text = F.col(column.name)
+        looks_nested = text.startswith("[") | text.startswith("{")
         wrong = looks_nested & F.schema_of_variant(_raw(column)).rlike("^(ARRAY|OBJECT)<")
     elif column.kind is Kind.TEXT_ARRAY:
         wrong = ~F.schema_of_variant(_raw(column)).rlike(_SCALAR_ARRAY)
@@ -166,33 +166,37 @@ def parse(documents: DataFrame, table: RawTable) -> DataFrame:
     the document would be parsed a second time.
     """
     times = [c.name for c in table.columns if c.kind is Kind.TIME]
-    # The parser stops after one value. Inside brackets, a second value or a stray
-    # comma on the line is seen and the line is rejected, not cut short.
-    line = F.concat(F.lit("["), F.col("document"), F.lit("]"))
+    # The parser stops after one value and ignores what follows. With a mark behind
+    # the document, anything but a single value on the line shows, and is rejected.
+    line = F.concat(F.lit("["), F.col("document"), F.lit(f",{_END_MARK}]"))
     parsed = documents.select("document", "read_order", F.try_parse_json(line).alias("_line"))
-    one_object = (
-        F.schema_of_variant(F.variant_get("_line", "$[0]", "variant")).startswith("OBJECT")
-        & F.variant_get("_line", "$[1]", "variant").isNull()
-        & F.rtrim("document").endswith("}")
+    # One cast gives every key: NULL for an absent one, a variant null for an explicit null.
+    keys = ", ".join(f"`{c.name}` variant" for c in table.columns)
+    fields = parsed.select(
+        "document",
+        "read_order",
+        F.when(
+            F.try_variant_get("_line", "$[1]", "int") == _END_MARK,
+            F.try_variant_get("_line", "$[0]", f"struct<{keys}>"),
+        ).alias("_fields"),
     )
-    values = parsed.select(
+    values = fields.select(
         "document",
         "read_order",
-        F.coalesce(one_object, F.lit(False)).alias("_object"),
-        *[
-            F.variant_get("_line", f"$[0].{c.name}", "variant").alias(f"_raw_{c.name}")
-            for c in table.columns
-        ],
+        F.col("_fields").isNotNull().alias("_object"),
+        *[F.col(f"_fields.{c.name}").alias(f"_raw_{c.name}") for c in table.columns],
     )
     typed = values.select(
         "*",
         *[
-            _typed(c).alias(f"_text_{c.name}" if c.name in times else c.name)
+            _value(c).alias(f"_text_{c.name}" if c.name in times else c.name)
             for c in table.columns
         ],
         *[_has_time(c).alias(f"_has_{c.name}") for c in table.columns if c.name in times],
     )
-    timed = with_utc_times(typed, {name: f"_text_{name}" for name in times})
+    timed = with_utc_times(typed, {name: f"_text_{name}" for name in times}).withColumns(
+        {name: cut_blank_tail(F.col(name), limit) for name, limit in table.max_lengths.items()}
+    )
     reasons = [r for r in map(_reject_reason, table.columns) if r is not None]
     errors = [e for e in map(_type_error, table.columns) if e is not None]
     not_object = F.when(~F.col("_object"), F.lit("not a JSON object"))
