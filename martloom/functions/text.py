@@ -8,7 +8,5 @@ from pyspark.sql import functions as F
 
 def cut_blank_tail(value: Column, limit: int) -> Column:
     """Drop characters beyond ``limit`` when all of them are blanks, as VARCHAR(n) does."""
-    only_blanks = F.rtrim(F.substr(value, F.lit(limit + 1))) == ""
-    return F.when((F.length(value) > limit) & only_blanks, F.substring(value, 1, limit)).otherwise(
-        value
-    )
+    cut = F.regexp_replace(value, rf"(?s)\A(.{{{limit}}}) +\z", "$1")
+    return F.when(F.length(value) > limit, cut).otherwise(value)

@@ -38,28 +38,24 @@ def with_utc_times(df: DataFrame, times: dict[str, str]) -> DataFrame:
         clocks[f"_clock_{name}"] = F.substring(
             text, F.lit(12), F.length(text) - 11 - F.length(zone)
         )
-        padding = F.substr(F.lit("00:00:00"), F.length(clock) + 1)
-        clocks[f"_shift_{name}"] = F.when(F.length(zone) > 1, _offset_seconds(zone))
+        clocks[f"_shift_{name}"] = F.when(F.length(zone) > 1, _offset_seconds(zone)).otherwise(0)
         # A malformed text has no zone, hence no clock, hence no time.
-        results[name] = (
-            F.concat(F.substring(text, 1, 10), F.lit(" "), clock, padding).try_cast("timestamp_ntz"),
-            F.col(f"_shift_{name}"),
-        )
-    zero = F.lit(0)
-    shifted = {
-        name: F.when(shift.isNull(), local).when(
-            F.abs(shift) < _DAY_SECONDS, local - F.make_dt_interval(zero, zero, zero, shift)
+        padding = F.substr(F.lit("00:00:00"), F.length(clock) + 1)
+        local = F.concat(F.substring(text, 1, 10), F.lit(" "), clock, padding)
+        shift, zero = F.col(f"_shift_{name}"), F.lit(0)
+        results[name] = F.when(
+            F.abs(shift) < _DAY_SECONDS,
+            local.try_cast("timestamp_ntz") - F.make_dt_interval(zero, zero, zero, shift),
         )
-        for name, (local, shift) in results.items()
-    }
-    return df.withColumns(zones).withColumns(clocks).withColumns(shifted).drop(*zones, *clocks)
+    return df.withColumns(zones).withColumns(clocks).withColumns(results).drop(*zones, *clocks)
 
 
 def _offset_seconds(zone: Column) -> Column:
     """Signed length of ``+-HH:MM[:SS[.ffffff]]`` in seconds."""
+    sign = F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int")
     seconds = (
         F.substring(zone, 2, 2).try_cast("int") * 3600
         + F.substring(zone, 5, 2).try_cast("int") * 60
         + F.coalesce(F.substr(zone, F.lit(8)).try_cast("decimal(8,6)"), F.lit(0))
-    ).cast("decimal(18,6)")
-    return F.when(zone.startswith("-"), -seconds).otherwise(seconds)
+    )
+    return (sign * seconds).cast("decimal(18,6)")

@@ -32,8 +32,8 @@ def row_checks(df: DataFrame, table: RawTable | MartTable) -> list[RowCheck]:
     checks = [RowCheck("not_null", c, F.col(c).isNull()) for c in table.not_null]
     for column, limit in table.max_lengths.items():
         # Characters beyond the limit are allowed when all of them are blanks.
-        too_long = (F.length(column) > limit) & (F.length(F.rtrim(column)) > limit)
-        checks.append(RowCheck("length", column, F.coalesce(too_long, F.lit(False))))
+        too_long = F.coalesce(F.length(F.rtrim(column)) > limit, F.lit(False))
+        checks.append(RowCheck("length", column, too_long))
     for column in table.json_arrays:
         not_array = F.col(column).isNotNull() & F.json_array_length(column).isNull()
         checks.append(RowCheck("json_array", column, not_array))
@@ -120,13 +120,21 @@ def enforce(df: DataFrame, table: RawTable | MartTable) -> DataFrame:
     For writes: the checks ride on the pass that produces the rows, so a clean
     table costs no extra scan. Key uniqueness needs :func:`duplicate_keys`.
     """
-    checks = row_checks(df, table)
-    reason = F.coalesce(*[F.when(c.violated, F.lit(f"{c.check} {c.column}")) for c in checks])
+    reasons = [
+        F.when(c.violated, F.lit(f"{c.check} {c.column}")) for c in row_checks(df, table)
+    ]
+    broken = F.col("_broken")
     message = F.concat(
-        F.lit(f"constraint violation: {table.name}: "), reason, F.lit(", key "), _key_text(table)
+        F.lit(f"constraint violation: {table.name}: "), broken, F.lit(", key "), _key_text(table)
     )
     guarded = table.keys[-1]
-    return df.withColumn(
-        guarded,
-        F.when(reason.isNull(), F.col(guarded)).otherwise(F.raise_error(message).cast("string")),
+    return (
+        df.withColumn("_broken", F.coalesce(*reasons))
+        .withColumn(
+            guarded,
+            F.when(broken.isNull(), F.col(guarded)).otherwise(
+                F.raise_error(message).cast("string")
+            ),
+        )
+        .drop("_broken")
     )

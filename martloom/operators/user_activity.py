@@ -66,7 +66,8 @@ def user_activity(
         "micros",
         "n_pages",
         "n_actions",
-        F.posexplode("items").alias("pos", "item"),
+        # There always is a first item; "outer" only spares the inferred test for it.
+        F.posexplode_outer("items").alias("pos", "item"),
     )
     is_session = F.col("pos") == 0
     is_action = F.col("pos") > n_pages
@@ -91,23 +92,23 @@ def user_activity(
         F.max("end_time").alias("end_time"),
     )
 
-    session, page, action = (F.col("kind") == k for k in ("session", "page", "action"))
-    named = F.col("item").isNotNull()
     # Most copies first, then the smallest action in byte order.
-    rank = F.when(action & named, F.struct(-F.col("copies"), F.col("item")))
     by_user = by_item.groupBy("date", "user_id").agg(
-        F.sum(F.when(session, F.col("copies"))).alias("sessions"),
+        F.expr("sum(copies) FILTER (WHERE kind = 'session')").alias("sessions"),
         *[F.sum(c).alias(c) for c in ("micros", "timed", "pages", "actions")],
-        F.count_if(page & named).alias("unique_pages"),
-        F.min_by("item", rank).alias("action"),
-        F.array_sort(F.collect_list(F.when(session, F.col("item")))).alias("devices"),
-        F.bool_or(session & ~named).alias("unnamed_device"),
+        F.expr("count(item) FILTER (WHERE kind = 'page')").alias("unique_pages"),
+        F.expr(
+            "min_by(item, struct(-copies, item)) FILTER (WHERE kind = 'action' AND item IS NOT NULL)"
+        ).alias("action"),
+        F.expr("collect_list(item) FILTER (WHERE kind = 'session')").alias("devices"),
+        F.bool_or((F.col("kind") == "session") & F.col("item").isNull()).alias("unnamed_device"),
         F.max("end_time").alias("end_time"),
     )
 
     mean = F.coalesce(
         mean_2dp(F.col("micros"), F.col("timed"), MICROS_PER_MINUTE), F.lit(0).cast("decimal(10,2)")
     )
+    named = F.array_sort("devices")
     unnamed = F.array(F.lit(None).cast("string"))
     return by_user.select(
         "date",
@@ -118,8 +119,8 @@ def user_activity(
         as_int(F.col("unique_pages"), "unique_pages_visited").alias("unique_pages_visited"),
         as_int(F.col("actions"), "total_actions").alias("total_actions"),
         F.col("action").alias("most_frequent_action"),
-        F.when(F.col("unnamed_device"), F.concat("devices", unnamed))
-        .otherwise(F.col("devices"))
+        F.when(F.col("unnamed_device"), F.concat(named, unnamed))
+        .otherwise(named)
         .alias("devices_used"),
         F.col("end_time").alias("last_activity"),
         instant(as_of).alias("updated_at"),

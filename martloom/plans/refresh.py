@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from martloom.operators.moderation_stats import moderation_stats
 from martloom.operators.product_popularity import product_popularity
@@ -27,7 +26,7 @@ from martloom.schemas import (
     MartTable,
     RawTable,
 )
-from martloom.sources.documents import accepted, parse, read_documents, rejected
+from martloom.sources.documents import ParseCounts, accepted, parse, read_documents, rejected
 from martloom.sources.warehouse import Warehouse
 
 
@@ -63,24 +62,16 @@ def load_raw(
     if documents.isEmpty():
         return LoadReport(table.name, warehouse.read(table).count(), 0, 0, 0)
 
-    seen = Observation()
-    is_accepted = F.col("reject_reason").isNull()
-    parsed = parse(documents, table)
-    counted = parsed.observe(
-        seen,
-        F.count(F.lit(1)).alias("source"),
-        F.count_if(is_accepted).alias("accepted"),
-        F.count_if(~is_accepted).alias("rejected"),
-    )
-    batch = enforce(accepted(counted, table), table)
+    seen = ParseCounts()
+    batch = enforce(accepted(parse(documents, table, seen), table), table)
     merged = upsert(
         warehouse.read(table), batch, table.key, ["read_order"], table.sticky, as_of
     )
     version = warehouse.stage(merged, table)
-    counts = seen.get
+    counts = seen.get()
     if counts.get("rejected", 1):
         run = as_of.strftime("%Y%m%dT%H%M%S")
-        warehouse.append_quarantine(rejected(parsed, table), run)
+        warehouse.append_quarantine(rejected(parse(documents, table), table), run)
     warehouse.publish(version)
     return LoadReport(table.name, warehouse.read(table).count(), **counts)
 
@@ -134,13 +125,13 @@ def refresh(
         [
             lambda t=table: load_raw(warehouse, t, sources[t.collection], as_of)
             for table in RAW_TABLES.values()
-        ]
+        ],
     )
     marts = _all(
         spark,
         [
             lambda m=mart: build_mart(warehouse, m, mart_frame(warehouse, m.name, as_of, counting))
             for mart in MARTS.values()
-        ]
+        ],
     )
     return loads + marts

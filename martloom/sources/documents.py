@@ -10,7 +10,7 @@ A parsed frame has the columns of its raw table plus
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ _SCALAR_ARRAY = r"^ARRAY<(VOID|STRING|BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE|BOOLEAN)>
 _END_MARK = 7
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 # JSON text of the values that count as "no value" for an optional time.
-_EMPTY_VALUES = ("null", '""', "0", "0.0", "-0.0", "false", "[]", "{}")
+_EMPTY_VALUE = r'^(null|""|-?0(\.0)?|false|\[\]|\{\})$'
 
 
 def read_documents(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
@@ -89,13 +89,14 @@ def _get(column: RawColumn, spark_type: str) -> Column:
 
 
 def _number(column: RawColumn) -> Column:
+    """An integer, a number rounded half away from zero, or integer text, within INT range."""
     kind = F.schema_of_variant(_raw(column))
     text = _get(column, "string")
-    number = F.round(_get(column, "double"), 0)
-    return F.when(
-        kind.rlike(r"^(BIGINT|DECIMAL|DOUBLE)") & number.between(-(2**31), 2**31 - 1),
-        number.try_cast("int"),
-    ).when((kind == "STRING") & text.rlike(_INTEGER_TEXT), F.trim(text).try_cast("int"))
+    # Each kind is read in its own type: reading it in another one casts row by row.
+    whole = F.when(kind == "BIGINT", _get(column, "bigint")).when(
+        kind.rlike("^(DECIMAL|DOUBLE)"), F.round(_get(column, "double"), 0).try_cast("bigint")
+    ).when((kind == "STRING") & text.rlike(_INTEGER_TEXT), F.trim(text).try_cast("bigint"))
+    return whole.try_cast("int")
 
 
 def _default(column: RawColumn) -> Column:
@@ -109,7 +110,7 @@ def _default(column: RawColumn) -> Column:
 def _has_time(column: RawColumn) -> Column:
     if column.required:
         return _raw(column).isNotNull()
-    return _raw(column).isNotNull() & ~F.to_json(_raw(column)).isin(*_EMPTY_VALUES)
+    return _raw(column).isNotNull() & ~F.to_json(_raw(column)).rlike(_EMPTY_VALUE)
 
 
 def _value(column: RawColumn) -> Column:
@@ -154,17 +155,34 @@ def _type_error(column: RawColumn) -> Column | None:
     return F.when(present & wrong, F.lit(column.name))
 
 
-def parse(documents: DataFrame, table: RawTable) -> DataFrame:
+class ParseCounts:
+    """How many documents one :func:`parse` read, accepted and rejected.
+
+    Known once a frame that was built on it has been written or collected.
+    """
+
+    def __init__(self) -> None:
+        self.source, self.outcome = Observation(), Observation()
+
+    def get(self) -> dict[str, int]:
+        return {**self.source.get, **self.outcome.get}
+
+
+def parse(documents: DataFrame, table: RawTable, counts: ParseCounts | None = None) -> DataFrame:
     """``(document, read_order)`` to the typed columns of ``table``, bad documents included.
 
     No shuffle and no per-row Python. Only the table's keys are taken from a
     document, so ``_id`` and any other key are dropped here.
 
     Each step's values are used several times by the next one, so Spark keeps the
-    steps apart and computes each value once. The closing ``inline`` of one row
-    keeps a filter on ``reject_reason`` from being moved below the parsing, where
-    the document would be parsed a second time.
+    steps apart and computes each value once.
+
+    Counting rides on the pass. The two points of observation do more: a later
+    filter on ``reject_reason`` stays above them and does not parse documents again,
+    and they split the generated code into methods that the JVM still compiles (it
+    interprets methods above 8000 bytes of code).
     """
+    counts = counts or ParseCounts()
     times = [c.name for c in table.columns if c.kind is Kind.TIME]
     # The parser stops after one value and ignores what follows. With a mark behind
     # the document, anything but a single value on the line shows, and is rejected.
@@ -176,7 +194,7 @@ def parse(documents: DataFrame, table: RawTable) -> DataFrame:
         "document",
         "read_order",
         F.when(
-            F.try_variant_get("_line", "$[1]", "int") == _END_MARK,
+            F.try_variant_get("_line", "$[1]", "bigint") == _END_MARK,
             F.try_variant_get("_line", "$[0]", f"struct<{keys}>"),
         ).alias("_fields"),
     )
@@ -194,24 +212,24 @@ def parse(documents: DataFrame, table: RawTable) -> DataFrame:
         ],
         *[_has_time(c).alias(f"_has_{c.name}") for c in table.columns if c.name in times],
     )
-    timed = with_utc_times(typed, {name: f"_text_{name}" for name in times}).withColumns(
+    fitted = typed.withColumns(
         {name: cut_blank_tail(F.col(name), limit) for name, limit in table.max_lengths.items()}
-    )
+    ).observe(counts.source, F.count(F.lit(1)).alias("source"))
+    timed = with_utc_times(fitted, {name: f"_text_{name}" for name in times})
     reasons = [r for r in map(_reject_reason, table.columns) if r is not None]
     errors = [e for e in map(_type_error, table.columns) if e is not None]
     not_object = F.when(~F.col("_object"), F.lit("not a JSON object"))
+    is_accepted = F.col("reject_reason").isNull()
     return timed.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    *table.column_names,
-                    "document",
-                    "read_order",
-                    F.coalesce(not_object, *reasons).alias("reject_reason"),
-                    F.coalesce(*errors).alias("type_error"),
-                )
-            )
-        )
+        *table.column_names,
+        "document",
+        "read_order",
+        F.coalesce(not_object, *reasons).alias("reject_reason"),
+        F.coalesce(*errors).alias("type_error"),
+    ).observe(
+        counts.outcome,
+        F.count_if(is_accepted).alias("accepted"),
+        F.count_if(~is_accepted).alias("rejected"),
     )
 
 

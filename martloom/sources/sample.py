@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.upsert import last_per_key
 from martloom.schemas import RawTable
 
 # A session never spans two segments of this many consecutive event ids.
@@ -127,9 +126,11 @@ def review_rows(lineitem: DataFrame) -> DataFrame:
 
 
 def moderation_queue(lineitem: DataFrame) -> DataFrame:
-    rows = review_rows(lineitem)
-    values = [c for c in rows.columns if c != "read_order"]
-    return last_per_key(rows, "review_id", ["read_order"], columns=values)
+    """The newest row of each review. Copies of a review are reduced to one before the shuffle."""
+    newest = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.max(F.struct(*REVIEW_ORDER, "l_discount", "l_tax", "l_returnflag")).alias("line")
+    )
+    return review_rows(newest.select("l_orderkey", "l_linenumber", "line.*")).drop("read_order")
 
 
 def user_recommendations(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
