@@ -1,0 +1,28 @@
+"""Every registered query against its SQL, and the driver contract."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from oracle_compare import compare
+
+import __spark_entry__ as contract
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_each_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_equals_sql(spark, name):
+    assert compare(spark, contract.queries()[name], contract.oracle_sql()[name], SF_DIR) == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
+def test_entry(spark):
+    result = contract.entry(spark)
+    assert result.columns[:2] == ["date", "product_id"] and not result.isEmpty()
