@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 MICROS_PER_MINUTE = 60_000_000
 MICROS_PER_HOUR = 3_600_000_000
 
+# 200 * _WIDE + _WIDE, and twice _WIDE, are below 2^63.
+_WIDE = 20_000_000_000_000_000
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -29,15 +31,21 @@ def hundredths(total: Column, count: Column, unit: int = 1) -> Column:
     One integer division, so no first rounding can spoil the second. ``total``
     is an integer of up to 35 digits. NULL when ``count`` is 0 or NULL.
     """
-    total = total.cast("decimal(35,0)")
-    whole = (count.cast("decimal(20,0)") * F.lit(unit).cast("decimal(11,0)")).cast("decimal(34,0)")
-    quotient = F.call_function(
-        "div",
-        F.abs(total) * F.lit(200).cast("decimal(3,0)") + whole,
-        whole * F.lit(2).cast("decimal(1,0)"),
+    # Nearly every value fits 64 bits; division of wide decimals is many times slower.
+    size, copies = F.abs(total), count.cast("bigint")
+    fits = (size < _WIDE) & (copies < _WIDE // unit)
+    narrow = _quotient(size.cast("bigint"), copies * F.lit(unit), "bigint")
+    wide_whole = (copies.cast("decimal(20,0)") * F.lit(unit).cast("decimal(11,0)")).cast(
+        "decimal(34,0)"
     )
-    signed = F.when(total < 0, -quotient).otherwise(quotient)
-    return F.when(count != 0, signed)
+    wide = _quotient(size.cast("decimal(35,0)"), wide_whole, "decimal(3,0)")
+    quotient = F.when(fits, narrow).otherwise(wide)
+    return F.when(copies != 0, F.when(total < 0, -quotient).otherwise(quotient))
+
+
+def _quotient(size: Column, whole: Column, factor: str) -> Column:
+    doubled = whole * F.lit(2).cast(factor)
+    return F.call_function("div", size * F.lit(200).cast(factor) + whole, doubled)
 
 
 def mean_2dp(total: Column, count: Column, unit: int = 1) -> Column:

@@ -6,7 +6,10 @@ the name its SQL counterpart in :mod:`martloom.plans.oracle` gives it.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +26,10 @@ from martloom.operators.product_popularity import (
 from martloom.operators.support_efficiency import support_efficiency
 from martloom.operators.upsert import upsert
 from martloom.operators.user_activity import session_durations, user_activity
+from martloom.plans.refresh import refresh
 from martloom.schemas import (
     EVENT_LOGS,
+    MARTS,
     MODERATION_QUEUE,
     RAW_TABLES,
     SUPPORT_TICKETS,
@@ -34,6 +39,7 @@ from martloom.schemas import (
 )
 from martloom.sources import sample
 from martloom.sources.documents import accepted, documents_from, parse, rejected
+from martloom.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -299,6 +305,44 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("table", "check").agg(F.count("*").alias("violations"))
 
 
+# --- the whole job -----------------------------------------------------------
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; a local one only in local mode, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
+
+def refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all five collections through loads, checks and marts; rows per stored table."""
+    rows = {
+        USER_SESSIONS: _sessions(spark, sf_dir),
+        EVENT_LOGS: sample.event_logs(_events(spark, sf_dir)),
+        SUPPORT_TICKETS: _tickets(spark, sf_dir),
+        USER_RECOMMENDATIONS: _recommendations(spark, sf_dir),
+        MODERATION_QUEUE: _reviews(spark, sf_dir),
+    }
+    sources = {
+        t.collection: sample.as_documents(df, t, keep_nulls=t is not SUPPORT_TICKETS)
+        for t, df in rows.items()
+    }
+    root = f"{_shared_folder(spark).rstrip('/')}/martloom/{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, root, keep=1)
+    refresh(spark, sources, warehouse)
+    stored = [
+        warehouse.read(t)
+        .agg(F.count("*").alias("rows"))
+        .select(F.lit(t.name).alias("table"), "rows")
+        for t in (*RAW_TABLES.values(), *MARTS.values())
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
 QUERIES: dict[str, Query] = {
     "raw_user_sessions": raw_user_sessions,
     "raw_event_logs": raw_event_logs,
@@ -320,4 +364,5 @@ QUERIES: dict[str, Query] = {
     "product_recommendations": recommendations,
     "product_popularity": popularity,
     "quality_report": quality_report,
+    "refresh_report": refresh_report,
 }

@@ -97,12 +97,17 @@ class RawTable:
 
 @dataclass(frozen=True)
 class MartTable:
-    """A mart is keyed by ``(date, <second key>)`` and partitioned by ``date``."""
+    """A mart is keyed by ``(date, <second key>)``.
+
+    ``by_date``: a directory per date. For marts with many rows a day; one with a
+    handful would turn into as many small files as there are dates.
+    """
 
     name: str
     keys: tuple[str, str]
     schema: T.StructType
     max_lengths: dict[str, int]
+    by_date: bool
 
     @property
     def not_null(self) -> tuple[str, ...]:
@@ -209,6 +214,7 @@ USER_ACTIVITY = MartTable(
     .add("last_activity", _NTZ)
     .add("updated_at", _NTZ),
     {"user_id": 50, "most_frequent_action": 50},
+    by_date=True,
 )
 
 SUPPORT_EFFICIENCY = MartTable(
@@ -227,6 +233,7 @@ SUPPORT_EFFICIENCY = MartTable(
     .add("unique_users", "integer")
     .add("updated_at", _NTZ),
     {"issue_type": 50},
+    by_date=False,
 )
 
 MODERATION_STATS = MartTable(
@@ -242,6 +249,7 @@ MODERATION_STATS = MartTable(
     .add("unique_users", "integer")
     .add("updated_at", _NTZ),
     {"moderation_status": 20},
+    by_date=False,
 )
 
 PRODUCT_POPULARITY = MartTable(
@@ -256,6 +264,7 @@ PRODUCT_POPULARITY = MartTable(
     .add("times_recommended", "integer")
     .add("updated_at", _NTZ),
     {"product_id": 50},
+    by_date=True,
 )
 
 MARTS = {

@@ -7,8 +7,9 @@ Layout below the root::
 
 A version counts once its marker exists, so a failure before that leaves the old
 contents in place. Raw tables are bucketed and sorted by their key (the upsert
-join then moves only the batch); marts are partitioned by date. One writer at a
-time, any number of readers; the last ``keep`` versions stay on disk for them.
+join then moves only the batch); marts are sorted by date and key, the large ones
+partitioned by date. One writer at a time, any number of readers; the last
+``keep`` versions stay on disk for them.
 """
 
 from __future__ import annotations
@@ -33,16 +34,23 @@ class Version:
 
 class Warehouse:
     def __init__(
-        self, spark: SparkSession, root: str, buckets: int | None = None, keep: int = 2
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int | None = None,
+        keep: int = 2,
+        bucket_bytes: int = 1 << 30,
     ) -> None:
         """``buckets``: files per raw table, by default the session's shuffle partitions,
-        so that a stored table and a shuffled batch line up."""
+        so that a stored table and a shuffled batch line up. The number is doubled as a
+        table grows beyond ``bucket_bytes`` per bucket."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.keep = keep
+        self.bucket_bytes = bucket_bytes
         self._id = hashlib.sha256(self.root.encode()).hexdigest()[:12]
 
     # --- reading ---------------------------------------------------------------
@@ -86,7 +94,7 @@ class Warehouse:
         published = self.versions(table)
         number = published[-1].number + 1 if published else 1
         raw = isinstance(table, RawTable)
-        version = Version(table, number, self.buckets if raw else 0)
+        version = Version(table, number, self._bucket_count(published) if raw else 0)
         path, rows = self._path(version), rows.select(*table.schema.names)
         if raw:
             # Left by a run that failed after staging; the data goes with the overwrite.
@@ -100,15 +108,15 @@ class Warehouse:
                 .saveAsTable(self._catalog_name(version))
             )
         else:
-            # Rebalance by date: adaptive execution splits a hot date and joins small ones.
-            (
+            # Adaptive execution splits a hot date and joins small ones; the sort keeps each
+            # date, and each key in it, together for pruning.
+            writer = (
                 rows.hint("rebalance", F.col("date"))
                 .sortWithinPartitions(*table.keys)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
-                .partitionBy("date")
-                .parquet(path)
             )
+            (writer.partitionBy("date") if table.by_date else writer).parquet(path)
         return version
 
     def publish(self, version: Version) -> None:
@@ -144,6 +152,15 @@ class Warehouse:
     def _path(self, version: Version) -> str:
         return f"{self._table_path(version.table)}/v{version.number:010d}"
 
+    def _bucket_count(self, published: list[Version]) -> int:
+        count = self.buckets
+        if published:
+            fs, target = self._fs(self._path(published[-1]))
+            size = fs.getContentSummary(target).getLength()
+            while size > count * self.bucket_bytes:
+                count *= 2
+        return count
+
     def _catalog_name(self, version: Version) -> str:
         return f"raw_{version.table.name}_{self._id}_v{version.number}"
 

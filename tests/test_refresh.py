@@ -98,7 +98,7 @@ def test_stamps(loaded):
     assert {r[0] for r in warehouse.read(USER_ACTIVITY).select("updated_at").collect()} == {FIRST}
 
 
-def test_marts_are_partitioned_by_date(loaded):
+def test_large_marts_are_partitioned_by_date(loaded):
     warehouse, _, _ = loaded
     plan = warehouse.read(PRODUCT_POPULARITY).filter("date = date'2024-01-10'")
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -216,6 +216,16 @@ def test_old_versions_are_dropped(spark, loaded, tmp_path):
     assert warehouse.read(USER_SESSIONS).count() == 2
 
 
+def test_buckets_grow_with_the_table(spark, loaded, tmp_path):
+    _, _, source = loaded
+    docs = read_collections(spark, source)["UserSessions"]
+    warehouse = Warehouse(spark, str(tmp_path), buckets=2, bucket_bytes=1024)
+    for day in (1, 2):
+        load_raw(warehouse, USER_SESSIONS, docs, dt.datetime(2024, 3, day))
+    first, second = (v.buckets for v in warehouse.versions(USER_SESSIONS))
+    assert first == 2 and second > 2 and warehouse.read(USER_SESSIONS).count() == 2
+
+
 def test_upsert_into_stored_table_moves_only_the_batch(spark, loaded, tmp_path):
     from martloom.operators.upsert import upsert
     from martloom.sources.documents import accepted, parse
