@@ -22,6 +22,7 @@ from martloom.sources.documents import (
     accepted,
     documents_from,
     parse,
+    read_connector,
     read_documents,
     rejected,
 )
@@ -231,6 +232,15 @@ def test_read_order_and_dropped_keys(spark, tmp_path):
     assert counts.get() == {"source": 3, "accepted": 3, "rejected": 0}
 
 
+def test_connector_rows_become_documents(spark, tmp_path):
+    # The JSON source stands in for a connector: both give inferred columns.
+    (tmp_path / "a.json").write_text('{"_id": 1, "user_id": "u", "recommended_products": ["p"]}\n')
+    docs = read_connector(spark, "UserRecommendations", "json", path=str(tmp_path))
+    row = parse(docs, USER_RECOMMENDATIONS).first()
+    assert (row["user_id"], row["recommended_products"], row["reject_reason"]) == ("u", ["p"], None)
+    assert '"_id"' not in row["document"]
+
+
 def test_filter_stays_above_the_parser(spark):
     frame = accepted(parsed(spark, USER_SESSIONS, [SESSION]), USER_SESSIONS)
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
