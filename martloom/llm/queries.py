@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from martloom.llm import decontamination, quality_rules
+from martloom.llm import decontamination, quality_rules, substring_dedup, suffix_array_dedup
 
 QUERIES = {
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 
-ORACLE = {**quality_rules.ORACLE, **decontamination.ORACLE}
+ORACLE = {**substring_dedup.ORACLE, **quality_rules.ORACLE, **decontamination.ORACLE}
