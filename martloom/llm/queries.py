@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from martloom.llm import decontamination, quality_rules, substring_dedup, suffix_array_dedup
+from martloom.llm import (
+    decontamination,
+    quality_rules,
+    substring_dedup,
+    suffix_array_dedup,
+    url_filters,
+)
 
 QUERIES = {
+    "op1_url_filters": url_filters.op1_url_filters,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 
-ORACLE = {**substring_dedup.ORACLE, **quality_rules.ORACLE, **decontamination.ORACLE}
+ORACLE = {
+    **url_filters.ORACLE,
+    **substring_dedup.ORACLE,
+    **quality_rules.ORACLE,
+    **decontamination.ORACLE,
+}
