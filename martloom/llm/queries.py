@@ -8,12 +8,14 @@ from martloom.llm import (
     substring_dedup,
     suffix_array_dedup,
     url_filters,
+    warc_audit,
 )
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_warc_audit": warc_audit.op7_warc_audit,
     "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
 }
@@ -22,5 +24,6 @@ ORACLE = {
     **url_filters.ORACLE,
     **substring_dedup.ORACLE,
     **quality_rules.ORACLE,
+    **warc_audit.ORACLE,
     **decontamination.ORACLE,
 }
