@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martloom.llm import (
     decontamination,
+    pii,
     quality_rules,
     substring_dedup,
     suffix_array_dedup,
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_warc_audit": warc_audit.op7_warc_audit,
     "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
