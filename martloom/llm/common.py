@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Characters between words.
 WHITE = r"[\x20\x09-\x0D]+"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,7 +54,13 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        # The written table replaces the shuffles behind it, so their files can go at once.
+        before = self.spark.conf.get(CLEAN_UP)
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -254,6 +254,7 @@ def removed_runs(docs: DataFrame, unit: Unit, settle: Settle, limit: int, scratc
     runs = repeated.withColumn("tag", _tag_of(F.col("pack"))).join(copies, ["doc_id", "tag"], "left_anti")
     # A list is bounded by its document's length.
     runs = runs.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("pack", "anchor")).alias("runs"))
+    runs = scratch.save(runs, "runs")
 
     segments = usable.join(runs, ["doc_id", "tag"]).mapInArrow(_cutter(unit), _ddl(SEGMENT_ROW))
     met = segments.withColumn(
