@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martloom.llm import (
     decontamination,
+    packing,
     pii,
     quality_rules,
     substring_dedup,
@@ -15,6 +16,7 @@ from martloom.llm import (
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op5_packing": packing.op5_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_warc_audit": warc_audit.op7_warc_audit,
     "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,

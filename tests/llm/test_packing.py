@@ -1,0 +1,85 @@
+"""Packing: ids against the tokenizers library, and the packing's own rules."""
+
+from __future__ import annotations
+
+import os
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from martloom.llm.packing import best_fit, cuts, evolve, pack, token_ids
+
+SF_DIR = "/root/testdata/sf0.01"
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids_of(text):
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def check(docs, rows, size):
+    by_doc = defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+    for doc_id, text in docs:
+        ids = ids_of(text)
+        mine = sorted(by_doc[doc_id], key=lambda r: r.piece)
+        assert [r.piece for r in mine] == list(range(len(mine)))
+        assert sum(r.length for r in mine) == len(ids)
+        for r in mine:
+            part = np.array(ids[r.start : r.start + r.length], "<u4")
+            assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32
+            assert r.piece == 0 or r.length == size
+        assert len(mine) == -(-len(ids) // size)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append(r)
+    for held in sequences.values():
+        at = 0
+        for r in sorted(held, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= size
+    return len(sequences), -(-sum(r.length for r in rows) // size)
+
+
+def test_edges(spark):
+    docs = [(1, None), (2, ""), (3, "a " * 5000), (4, "<|endoftext|> in a text"), (5, "x" * 3000), (6, " \n\t  é漢😀")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS item", "2 AS block")
+    used, least = check(docs, pack(df, 64).collect(), 64)
+    assert used <= least + 1
+    assert pack(df.limit(0)).count() == 0
+    twice = pack(df.union(df).union(df.selectExpr("null", "text", "1", "2")), 64).collect()
+    assert len(twice) == 3 * sum(-(-len(ids_of(t)) // 64) for _, t in docs)
+    assert len({(r.sequence_id, r.offset) for r in twice}) == len(twice)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
+def test_sample(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    used, least = check(docs, pack(df).collect(), 2048)
+    assert used <= 1.01 * least
+
+
+def test_ids_equal_those_of_the_library():
+    for text in ["", " ", "it's <|endoftext|>", "a  b   \n\n c", "éà漢字 \x00\x1c", "A" * 2000, "1234567 3.14"]:
+        assert [*token_ids(text), 0] == ids_of(text)
+
+
+def test_cuts():
+    assert cuts(5, 4) == [(0, 1), (1, 4)] and cuts(8, 4) == [(0, 4), (4, 4)] and cuts(4, 4) == [(0, 4)]
+
+
+def test_search_keeps_every_piece():
+    sizes = [1 + (i * 37) % 90 for i in range(400)]
+    for assigned in evolve(sizes, [], 100, 7):
+        held = defaultdict(int)
+        for i, b in enumerate(assigned):
+            held[b] += sizes[i]
+        assert max(held.values()) <= 100 and sorted(held) == list(range(len(held)))
+    assert best_fit([5, 4, 3], [0, 1, 2], [], 7) == [[0], [1, 2]]
