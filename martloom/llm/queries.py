@@ -7,6 +7,7 @@ from martloom.llm import (
     packing,
     pii,
     quality_rules,
+    secrets,
     substring_dedup,
     suffix_array_dedup,
     url_filters,
@@ -16,6 +17,7 @@ from martloom.llm import (
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_secrets": secrets.op3_secrets,
     "op5_packing": packing.op5_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_warc_audit": warc_audit.op7_warc_audit,
