@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martloom.llm import (
     decontamination,
+    jaccard_join,
     packing,
     pii,
     quality_rules,
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_secrets": secrets.op3_secrets,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_packing": packing.op5_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_warc_audit": warc_audit.op7_warc_audit,
