@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 # Fixed value: the accepted grammar. A date, then optionally one separator
 # character and HH[:MM[:SS[.fff[fff]]]], then optionally Z or +-HH:MM[:SS[.ffffff]].
+# A date directly followed by Z is that day's midnight.
 ISO_PATTERN = (
     r"\A(?!0000)\d{4}-\d{2}-\d{2}"
-    r"([^Z]\d{2}(:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?)?"
+    r"(Z|[^Z]\d{2}(:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?)?"
     r"(Z|[+-]\d{2}:\d{2}(:\d{2}(\.\d{6})?)?)?)?\z"
 )
 _OFFSET = r"[+-]\d{2}:\d{2}(:\d{2}(\.\d{6})?)?\z"

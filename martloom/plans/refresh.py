@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.operators.moderation_stats import moderation_stats
 from martloom.operators.product_popularity import product_popularity
@@ -26,14 +27,13 @@ from martloom.schemas import (
     MartTable,
     RawTable,
 )
-from martloom.sources.documents import ParseCounts, accepted, parse, read_documents, rejected
+from martloom.sources.documents import accepted, parse, read_documents, rejected
 from martloom.sources.warehouse import Warehouse
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What one task did. Document counts are for the log: they come with the write
-    pass, and a task lost after it reported can be counted twice."""
+    """What one task did. Counts of documents are those of the rows the parse wrote."""
 
     table: str
     rows: int
@@ -51,29 +51,42 @@ def read_collections(spark: SparkSession, root: str, suffix: str = ".jsonl") ->
 
 
 def load_raw(
-    warehouse: Warehouse, table: RawTable, documents: DataFrame, as_of: datetime
+    warehouse: Warehouse,
+    table: RawTable,
+    documents: DataFrame,
+    as_of: datetime,
+    batch_bytes: int | None = None,
 ) -> LoadReport:
     """Parse, check and upsert one collection, then publish the new version.
 
-    One pass over the documents: parsing, checks and counts ride on the write. A
-    bad value fails that write and nothing is published. Only when documents were
-    rejected is the source read again, to keep them.
+    The source is read once: its documents are parsed into the warehouse's shared folder,
+    split by whether they were rejected. Emptiness, counts, the quarantine and the upsert
+    come from there, so they agree even when the source changes meanwhile. A bad value fails
+    the upsert's write and nothing is published. ``batch_bytes`` is the size the batch will
+    have when stored, by default that of the parsed files.
     """
-    if documents.isEmpty():
-        return LoadReport(table.name, warehouse.read(table).count(), 0, 0, 0)
-
-    seen = ParseCounts()
-    batch = enforce(accepted(parse(documents, table, seen), table), table)
-    merged = upsert(
-        warehouse.read(table), batch, table.key, ["read_order"], table.sticky, as_of
-    )
-    version = warehouse.stage(merged, table)
-    counts = seen.get()
-    if counts.get("rejected", 1):
-        run = as_of.strftime("%Y%m%dT%H%M%S")
-        warehouse.append_quarantine(rejected(parse(documents, table), table), run)
-    warehouse.publish(version)
-    return LoadReport(table.name, warehouse.read(table).count(), **counts)
+    run = as_of.strftime("%Y%m%dT%H%M%S%f")
+    path = warehouse.parsed_path(table, run)
+    try:
+        rejects = F.col("reject_reason").isNotNull()
+        parsed = parse(documents, table).withColumns(
+            {"rejected": rejects, "document": F.when(rejects, F.col("document"))}
+        )
+        parsed.write.mode("overwrite").partitionBy("rejected").parquet(path)
+        size = warehouse.size(path) if batch_bytes is None else batch_bytes
+        own = warehouse.lined_up(table, size)
+        staged = own.spark.read.schema(parsed.schema).parquet(path)
+        counts = {r["rejected"]: r["n"] for r in staged.groupBy("rejected").agg(F.count("*").alias("n")).collect()}
+        good, bad = counts.get(False, 0), counts.get(True, 0)
+        if bad:
+            warehouse.keep_rejected(rejected(staged.where("rejected"), table), table.collection, run)
+        if good:
+            batch = enforce(accepted(staged.where("NOT rejected"), table), table)
+            merged = upsert(own.read(table), batch, table.key, ["read_order"], table.sticky, as_of)
+            warehouse.publish(own.stage(merged, table))
+        return LoadReport(table.name, warehouse.read(table).count(), good + bad, good, bad)
+    finally:
+        warehouse.remove(path)
 
 
 def build_mart(warehouse: Warehouse, mart: MartTable, rows: DataFrame) -> LoadReport:
@@ -99,9 +112,12 @@ def mart_frame(warehouse: Warehouse, mart: str, as_of: datetime, counting: str)
 
 
 def _all(spark: SparkSession, tasks: list[Callable[[], LoadReport]]) -> list[LoadReport]:
-    """Run independent tasks side by side; every one ends before the first error is raised."""
+    """Run independent tasks side by side; every one ends before errors are raised, all of them."""
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+    failed = [r.exception() for r in running if r.exception() is not None]
+    if len(failed) > 1:
+        raise RuntimeError("; ".join(str(e) for e in failed)) from failed[0]
     return [r.result() for r in running]
 
 

@@ -6,10 +6,7 @@ the name its SQL counterpart in :mod:`martloom.plans.oracle` gives it.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +23,10 @@ from martloom.operators.product_popularity import (
 from martloom.operators.support_efficiency import support_efficiency
 from martloom.operators.upsert import upsert
 from martloom.operators.user_activity import session_durations, user_activity
-from martloom.plans.refresh import refresh
+from martloom.plans import stored
 from martloom.schemas import (
     EVENT_LOGS,
-    MARTS,
     MODERATION_QUEUE,
-    RAW_TABLES,
     SUPPORT_TICKETS,
     USER_RECOMMENDATIONS,
     USER_SESSIONS,
@@ -39,7 +34,6 @@ from martloom.schemas import (
 )
 from martloom.sources import sample
 from martloom.sources.documents import accepted, documents_from, parse, rejected
-from martloom.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,7 +110,7 @@ def _written(ts: str, pattern: str) -> Column:
 
 
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event time in one of twelve spellings, seven of them valid."""
+    """Each event time in one of thirteen spellings, eight of them valid."""
     seconds = "yyyy-MM-dd'T'HH:mm:ss"
     spellings = (
         _written("ts", seconds + ".SSSSSS'Z'"),
@@ -131,8 +125,9 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         _written("ts", "' 'yyyy-MM-dd'T'HH:mm:ss"),
         F.lit("bad"),
         F.lit(""),
+        _written("ts", "yyyy-MM-dd'Z'"),
     )
-    text = F.coalesce(*[F.when(F.col("event_id") % 12 == n, s) for n, s in enumerate(spellings)])
+    text = F.coalesce(*[F.when(F.col("event_id") % 13 == n, s) for n, s in enumerate(spellings)])
     written = _events(spark, sf_dir).select("event_id", text.alias("text"))
     return with_utc_times(written, {"parsed": "text"})
 
@@ -200,6 +195,19 @@ def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- upsert ------------------------------------------------------------------
 
 
+def parse_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings as fractions, text, wrong types and numbers out of range, by event id."""
+    spellings = ("4.5", "2.4", "-2.5", '" 3 "', '"4.5"', "[1]", "2147483648", None, "null")
+    rating = F.lit("")
+    for n, text in enumerate(spellings):
+        if text is not None:
+            rating = F.when(F.col("event_id") % 9 == n, f',"rating":{text}').otherwise(rating)
+    document = F.concat(F.lit('{"review_id":"'), F.col("event_id"), F.lit('"'), rating, F.lit("}"))
+    written = _events(spark, sf_dir).select("event_id", document.alias("text"))
+    parsed = parse(documents_from(written, "text", ["event_id"]), MODERATION_QUEUE)
+    return parsed.select("read_order.event_id", "rating", "type_error")
+
+
 def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as versions of one session per (user, event type): first start, last all else."""
     events = _events(spark, sf_dir)
@@ -308,39 +316,9 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the whole job -----------------------------------------------------------
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only in local mode, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of all five collections through loads, checks and marts; rows per stored table."""
-    rows = {
-        USER_SESSIONS: _sessions(spark, sf_dir),
-        EVENT_LOGS: sample.event_logs(_events(spark, sf_dir)),
-        SUPPORT_TICKETS: _tickets(spark, sf_dir),
-        USER_RECOMMENDATIONS: _recommendations(spark, sf_dir),
-        MODERATION_QUEUE: _reviews(spark, sf_dir),
-    }
-    sources = {
-        t.collection: sample.as_documents(df, t, keep_nulls=t is not SUPPORT_TICKETS)
-        for t, df in rows.items()
-    }
-    root = f"{_shared_folder(spark).rstrip('/')}/martloom/{uuid.uuid4().hex}"
-    warehouse = Warehouse(spark, root, keep=1)
-    refresh(spark, sources, warehouse)
-    stored = [
-        warehouse.read(t)
-        .agg(F.count("*").alias("rows"))
-        .select(F.lit(t.name).alias("table"), "rows")
-        for t in (*RAW_TABLES.values(), *MARTS.values())
-    ]
-    return reduce(DataFrame.unionByName, stored)
+    return stored.refresh_counts(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {
@@ -352,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "parse_timestamps": parse_timestamps,
     "parse_defaults": parse_defaults,
     "parse_rejects": parse_rejects,
+    "parse_ratings": parse_ratings,
     "upsert_sessions": upsert_sessions,
     "upsert_reviews": upsert_reviews,
     "user_activity": user_activity_product,
@@ -365,4 +344,5 @@ QUERIES: dict[str, Query] = {
     "product_popularity": popularity,
     "quality_report": quality_report,
     "refresh_report": refresh_report,
+    **stored.QUERIES,
 }

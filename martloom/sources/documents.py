@@ -10,6 +10,8 @@ A parsed frame has the columns of its raw table plus
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,21 +62,52 @@ def documents_from(df: DataFrame, document: str, order_by: list[Column | str]) -
 
 
 def read_connector(
-    spark: SparkSession, collection: str, source_format: str = "mongodb", **options: str
+    spark: SparkSession, table: RawTable, source_format: str = "mongodb", **options: str
 ) -> DataFrame:
     """A collection through a document-database connector on the class path.
 
-    Connectors return columns, so an explicit null looks like an absent key and
-    takes the default; export to JSON Lines where that difference matters.
-    ``_id`` is not carried. Read order is the connector's.
+    Nothing is inferred from a sample: the columns are those of the table. The connector is
+    asked, by a projection, for each key's kind beside its value, which tells an absent key
+    from a null and a native date from a text. ``_id`` is not carried. Read order is the
+    connector's.
     """
-    rows = spark.read.format(source_format).options(collection=collection, **options).load()
+    wanted = {"_id": 0}
+    for c in table.columns:
+        wanted |= {c.name: 1, f"kind_{c.name}": {"$type": f"${c.name}"}}
+    names = [n for c in table.columns for n in (c.name, f"kind_{c.name}")]
+    rows = (
+        spark.read.format(source_format)
+        .schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        .options(collection=table.collection, **{"aggregation.pipeline": json.dumps([{"$project": wanted}])})
+        .options(**options)
+        .load()
+    )
     return rows.select(
-        F.to_json(F.struct(*[c for c in rows.columns if c != "_id"])).alias("document"),
+        document_of_kinds(table).alias("document"),
         F.struct(F.monotonically_increasing_id().alias("position")).alias("read_order"),
     )
 
 
+def document_of_kinds(table: RawTable) -> Column:
+    """JSON text from a value (text as such, anything else as JSON) and a kind per key.
+
+    A date becomes an object, which no column takes for a time.
+    """
+
+    def member(name: str) -> Column:
+        value, kind = F.col(name), F.col(f"kind_{name}")
+        quoted = F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+        written = (
+            F.when(kind == "null", "null")
+            .when(kind == "date", F.concat(F.lit('{"$date":'), quoted, F.lit("}")))
+            .when(kind.isin("string", "objectId", "symbol"), quoted)
+            .otherwise(value)
+        )
+        return F.when(kind != "missing", F.concat(F.lit(f'"{name}":'), written))
+
+    return F.concat(F.lit("{"), F.concat_ws(",", *[member(c.name) for c in table.columns]), F.lit("}"))
+
+
 def _raw(column: RawColumn) -> Column:
     return F.col(f"_raw_{column.name}")
 
@@ -116,7 +149,7 @@ def _has_time(column: RawColumn) -> Column:
 def _value(column: RawColumn) -> Column:
     """The value in its Spark type, times and limited texts still as they were written."""
     if column.kind is Kind.TIME:
-        return F.when(_has_time(column), _get(column, "string"))
+        return _get(column, "string")
     if column.kind is Kind.JSON:
         present = F.to_json(_raw(column))
     elif column.kind is Kind.TEXT_ARRAY:
@@ -132,8 +165,9 @@ def _reject_reason(column: RawColumn) -> Column | None:
     missing = F.when(_raw(column).isNull(), F.lit(f"missing key: {column.name}"))
     if column.kind is not Kind.TIME:
         return missing if column.required else None
+    # Whether there is a value at all matters, and is looked at, only where none was read.
     malformed = F.when(
-        F.col(f"_has_{column.name}") & F.col(column.name).isNull(),
+        F.col(column.name).isNull() & _has_time(column),
         F.lit(f"bad timestamp: {column.name}"),
     )
     return F.coalesce(missing, malformed) if column.required else malformed
@@ -210,7 +244,6 @@ def parse(documents: DataFrame, table: RawTable, counts: ParseCounts | None = No
             _value(c).alias(f"_text_{c.name}" if c.name in times else c.name)
             for c in table.columns
         ],
-        *[_has_time(c).alias(f"_has_{c.name}") for c in table.columns if c.name in times],
     )
     fitted = typed.withColumns(
         {name: cut_blank_tail(F.col(name), limit) for name, limit in table.max_lengths.items()}

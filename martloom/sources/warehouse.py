@@ -4,6 +4,8 @@ Layout below the root::
 
     <layer>/<table>/v<number>/            data of one version
     <layer>/<table>/_published/<number>.<buckets>   empty marker, made last
+    parsed/<table>/<run>/                 documents of a load, parsed; gone when it ends
+    quarantine/collection=<c>/run=<run>/  rejected documents of a load
 
 A version counts once its marker exists, so a failure before that leaves the old
 contents in place. Raw tables are bucketed and sorted by their key (the upsert
@@ -20,11 +22,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.schemas import MartTable, RawTable
+from martloom.schemas import RAW_TABLES, MartTable, RawTable
 
 Table = RawTable | MartTable
 
 
+#: Partition columns come after those in the files.
+STORED_QUARANTINE = "key string, reason string, document string, collection string, run string"
+
+
 @dataclass(frozen=True)
 class Version:
     table: Table
@@ -41,9 +47,9 @@ class Warehouse:
         keep: int = 2,
         bucket_bytes: int = 1 << 30,
     ) -> None:
-        """``buckets``: files per raw table, by default the session's shuffle partitions,
-        so that a stored table and a shuffled batch line up. The number is doubled as a
-        table grows beyond ``bucket_bytes`` per bucket."""
+        """``buckets``: files per raw table at least, by default the session's shuffle
+        partitions. A load chooses the power-of-two multiple that keeps stored and incoming
+        bytes below ``bucket_bytes`` per bucket; at the platform's ceiling buckets get larger."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
         self.spark = spark
@@ -51,8 +57,26 @@ class Warehouse:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.keep = keep
         self.bucket_bytes = bucket_bytes
+        self.incoming = 0  # bytes of the batch being loaded
+        self.most_buckets = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
         self._id = hashlib.sha256(self.root.encode()).hexdigest()[:12]
 
+    def lined_up(self, table: RawTable, incoming: int) -> Warehouse:
+        """This warehouse in a session of its own, whose shuffles match the stored buckets.
+
+        The batch is then shuffled once into as many parts as the table has buckets and the
+        stored rows not at all, whatever the caller's session is set to. More buckets than
+        before are written from the same parts, as their number is a multiple.
+        """
+        published = self.versions(table)
+        session = self.spark.newSession()
+        own = Warehouse(session, self.root, self.buckets, self.keep, self.bucket_bytes)
+        own.most_buckets = self.most_buckets
+        own.incoming = incoming
+        parts = published[-1].buckets if published else own._bucket_count(published)
+        session.conf.set("spark.sql.shuffle.partitions", str(parts))
+        return own
+
     # --- reading ---------------------------------------------------------------
 
     def versions(self, table: Table) -> list[Version]:
@@ -130,15 +154,38 @@ class Warehouse:
             self._delete(f"{self._markers(old.table)}/{old.number:010d}.{old.buckets}")
             self._delete(self._path(old))
 
-    def append_quarantine(self, rows: DataFrame, run: str) -> None:
-        """Keep rejected documents, by run and collection."""
-        path = f"{self.root}/quarantine/run={run}"
-        rows.write.mode("append").partitionBy("collection").parquet(path)
+    def keep_rejected(self, rows: DataFrame, collection: str, run: str) -> None:
+        """Keep the rejected documents of one collection and run; the same run again replaces them.
+
+        Each load writes a folder of its own, so loads side by side do not meet.
+        """
+        path = f"{self.root}/quarantine/collection={collection}/run={run}"
+        rows.drop("collection").write.mode("overwrite").parquet(path)
 
     def quarantine(self) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.root}/quarantine").parquet(
-            f"{self.root}/quarantine"
-        )
+        """``(key, reason, document, collection, run)`` of all rejected documents."""
+        root = f"{self.root}/quarantine"
+        if not any(name.startswith("collection=") for name in self._list(root)):
+            return self.spark.createDataFrame([], STORED_QUARANTINE)
+        return self.spark.read.schema(STORED_QUARANTINE).option("basePath", root).parquet(root)
+
+    def parsed_path(self, table: RawTable, run: str) -> str:
+        return f"{self.root}/parsed/{table.name}/{run}"
+
+    def size(self, path: str) -> int:
+        """Bytes below a path."""
+        fs, target = self._fs(path)
+        return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+    def remove(self, path: str) -> None:
+        self._delete(path)
+
+    def drop(self) -> None:
+        """Remove every table of this warehouse, files and catalog entries."""
+        for table in RAW_TABLES.values():
+            for version in self.versions(table):
+                self.spark.sql(f"DROP TABLE IF EXISTS `{self._catalog_name(version)}`")
+        self._delete(self.root)
 
     # --- paths and files -------------------------------------------------------
 
@@ -153,13 +200,14 @@ class Warehouse:
         return f"{self._table_path(version.table)}/v{version.number:010d}"
 
     def _bucket_count(self, published: list[Version]) -> int:
+        size = self.incoming
         count = self.buckets
         if published:
-            fs, target = self._fs(self._path(published[-1]))
-            size = fs.getContentSummary(target).getLength()
-            while size > count * self.bucket_bytes:
-                count *= 2
-        return count
+            count = published[-1].buckets
+            size += self.size(self._path(published[-1]))
+        while size > count * self.bucket_bytes and count * 2 <= self.most_buckets:
+            count *= 2
+        return min(count, self.most_buckets)
 
     def _catalog_name(self, version: Version) -> str:
         return f"raw_{version.table.name}_{self._id}_v{version.number}"

@@ -48,7 +48,7 @@ SEED = {
             "status": "open",
             "issue_type": "payment",
             "messages": [
-                {"sender": "user", "message": "Payment fails", "timestamp": "2024-01-09T12:00:00Z"}
+                {"sender": "user", "message": "Не могу оплатить заказ.", "timestamp": "2024-01-09T12:00:00Z"}
             ],
             "created_at": "2024-01-09T11:55:00Z",
             "updated_at": "2024-01-09T13:00:00Z",
@@ -66,7 +66,7 @@ SEED = {
             "review_id": "rev_555",
             "user_id": "user_123",
             "product_id": "prod_101",
-            "review_text": "Great product",
+            "review_text": "Отличный товар!",
             "rating": 5,
             "moderation_status": "pending",
             "flags": ["contains_images"],

@@ -67,6 +67,8 @@ def test_defaults_of_every_collection(spark):
     [
         ("2024-01-10T09:00:00Z", dt.datetime(2024, 1, 10, 9)),
         ("2024-01-10", dt.datetime(2024, 1, 10)),
+        ("2024-01-10Z", dt.datetime(2024, 1, 10)),
+        ("2024-01-10+03:00", dt.datetime(2024, 1, 10, 3)),
         ("2024-01-10T09", dt.datetime(2024, 1, 10, 9)),
         ("2024-01-10T09:07", dt.datetime(2024, 1, 10, 9, 7)),
         ("2024-01-10x09:00:00", dt.datetime(2024, 1, 10, 9)),
@@ -233,12 +235,21 @@ def test_read_order_and_dropped_keys(spark, tmp_path):
 
 
 def test_connector_rows_become_documents(spark, tmp_path):
-    # The JSON source stands in for a connector: both give inferred columns.
-    (tmp_path / "a.json").write_text('{"_id": 1, "user_id": "u", "recommended_products": ["p"]}\n')
-    docs = read_connector(spark, "UserRecommendations", "json", path=str(tmp_path))
-    row = parse(docs, USER_RECOMMENDATIONS).first()
-    assert (row["user_id"], row["recommended_products"], row["reject_reason"]) == ("u", ["p"], None)
-    assert '"_id"' not in row["document"]
+    """The JSON source stands in for a connector; its sample is too small to see a rare key."""
+    names = [c.name for c in USER_SESSIONS.columns]
+    common = {"session_id": "s", "user_id": "u", "start_time": "2024-01-10T09:00:00Z"}
+    kinds = {n: "string" if n in common else "missing" for n in names}
+    lines = [{**common, "session_id": f"s{i}", **{f"kind_{n}": k for n, k in kinds.items()}} for i in range(300)]
+    lines[298] |= {"device": None, "kind_device": "null", "actions": '["a\\"b", null]', "kind_actions": "array"}
+    lines[299] |= {"start_time": "2024-01-10T09:00:00Z", "kind_start_time": "date", "_id": 7}
+    (tmp_path / "a.json").write_text("\n".join(map(json.dumps, lines)))
+    docs = read_connector(spark, USER_SESSIONS, "json", path=str(tmp_path), samplingRatio="0.001")
+    got = {r["session_id"]: r for r in parse(docs, USER_SESSIONS).collect()}
+    assert len(got) == 300 and got["s0"]["device"] == "unknown" and got["s0"]["actions"] == []
+    assert got["s298"]["device"] is None and got["s298"]["actions"] == ['a"b', None]
+    assert got["s298"]["reject_reason"] is None
+    assert got["s299"]["reject_reason"] == "bad timestamp: start_time"
+    assert '"_id"' not in got["s299"]["document"]
 
 
 def test_filter_stays_above_the_parser(spark):

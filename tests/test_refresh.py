@@ -216,31 +216,109 @@ def test_old_versions_are_dropped(spark, loaded, tmp_path):
     assert warehouse.read(USER_SESSIONS).count() == 2
 
 
-def test_buckets_grow_with_the_table(spark, loaded, tmp_path):
-    _, _, source = loaded
-    docs = read_collections(spark, source)["UserSessions"]
-    warehouse = Warehouse(spark, str(tmp_path), buckets=2, bucket_bytes=1024)
-    for day in (1, 2):
-        load_raw(warehouse, USER_SESSIONS, docs, dt.datetime(2024, 3, day))
-    first, second = (v.buckets for v in warehouse.versions(USER_SESSIONS))
-    assert first == 2 and second > 2 and warehouse.read(USER_SESSIONS).count() == 2
+def one_session(spark, n=40):
+    rows = spark.range(n).selectExpr(
+        "concat('{\"session_id\":\"s', id, '\",\"user_id\":\"u\",\"start_time\":\"2024-01-10\"}') AS text", "id"
+    )
+    return documents_from(rows, "text", ["id"])
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), buckets=2, bucket_bytes=4096)
+    for day, size in ((1, 0), (2, 6000), (3, 1 << 40)):
+        warehouse.most_buckets = 100  # the platform's ceiling
+        load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, day), size)
+    second, third = (v.buckets for v in warehouse.versions(USER_SESSIONS))
+    assert second in (4, 8) and third == 64 and warehouse.read(USER_SESSIONS).count() == 40
+    load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 4), 1 << 50)
+    assert warehouse.versions(USER_SESSIONS)[-1].buckets == 64
+
+
+def plan_of_load(monkeypatch, warehouse, documents, as_of, size=None):
+    """The plan that wrote the table."""
+    plans = []
+    stage = Warehouse.stage
+
+    def told(self, rows, table):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stage(self, rows, table)
+
+    monkeypatch.setattr(Warehouse, "stage", told)
+    threshold = warehouse.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    lined_up = Warehouse.lined_up
+
+    def unbroadcast(self, table, incoming):
+        own = lined_up(self, table, incoming)
+        own.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        return own
+
+    monkeypatch.setattr(Warehouse, "lined_up", unbroadcast)
+    load_raw(warehouse, USER_SESSIONS, documents, as_of, size)
+    monkeypatch.undo()
+    assert warehouse.spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == threshold
+    return plans[-1]
+
+
+@pytest.mark.parametrize("partitions", ["2", "8", "32"])
+def test_a_load_shuffles_the_batch_once_and_no_stored_row(spark, monkeypatch, tmp_path, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    warehouse = Warehouse(spark, str(tmp_path), buckets=8, bucket_bytes=1 << 20)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        load_raw(warehouse, USER_SESSIONS, one_session(spark), FIRST)
+        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND)
+        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
+        # Growth, and the load after it.
+        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND, 12 << 20)
+        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
+        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND)
+        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 16 out of 16" in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert warehouse.read(USER_SESSIONS).count() == 40
+
 
+def test_the_source_is_read_once(spark, tmp_path):
+    """Also with rejects, of which there is one; an accumulator counts what the source gives out."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    given = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            given.add(batch.num_rows)
+            yield batch
+
+    rows = one_session(spark).selectExpr("document", "read_order.id AS id")
+    bad = spark.createDataFrame([("{broken", 99)], "document string, id long")
+    source = rows.unionByName(bad).mapInArrow(counted, "document string, id long")
+    report = load_raw(warehouse, USER_SESSIONS, documents_from(source, "document", ["id"]), FIRST)
+    assert (report.source, report.accepted, report.rejected, report.rows) == (41, 40, 1, 40)
+    assert given.value == 41
+    assert not (tmp_path / "w" / "parsed" / "user_sessions").exists() or not any(
+        (tmp_path / "w" / "parsed" / "user_sessions").iterdir()
+    )
+
+
+def test_quarantine_of_loads_side_by_side(spark, tmp_path):
+    """Unequal rejects in all collections at once, again and again, and the same run twice."""
+    sizes = {t.collection: n for t, n in zip(RAW_TABLES.values(), (3, 100_000, 20, 5_000, 700))}
+    sources = {
+        name: documents_from(spark.range(n).selectExpr("concat('{bad ', id) AS text", "id"), "text", ["id"])
+        for name, n in sizes.items()
+    }
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert warehouse.quarantine().count() == 0
+    for n in range(5):
+        refresh(spark, sources, warehouse, dt.datetime(2024, 3, 1, 0, 0, 0, n // 2))
+        found = warehouse.quarantine().groupBy("collection", "run").count().collect()
+        by_run = {(r["collection"], r["run"][-1]): r["count"] for r in found}
+        assert by_run == {(name, str(r)): size for name, size in sizes.items() for r in range(n // 2 + 1)}
 
-def test_upsert_into_stored_table_moves_only_the_batch(spark, loaded, tmp_path):
-    from martloom.operators.upsert import upsert
-    from martloom.sources.documents import accepted, parse
 
-    _, _, source = loaded
-    warehouse = Warehouse(spark, str(tmp_path), buckets=4)
-    docs = read_collections(spark, source)["UserSessions"]
-    load_raw(warehouse, USER_SESSIONS, docs, FIRST)
-    batch = accepted(parse(docs, USER_SESSIONS), USER_SESSIONS)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        merged = upsert(warehouse.read(USER_SESSIONS), batch, "session_id", ["read_order"],
-                        USER_SESSIONS.sticky, SECOND)
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 4 out of 4" in plan
+def test_all_failed_loads_are_told(spark, tmp_path):
+    documents = copy.deepcopy(SEED)
+    documents["UserSessions"][0].update(user_id=None)
+    documents["ModerationQueue"][0].update(rating="4.5")
+    source = read_collections(spark, write_collections(tmp_path / "s", documents))
+    with pytest.raises(Exception, match="(?s)not_null user_id.*value_type rating"):
+        refresh(spark, source, Warehouse(spark, str(tmp_path / "w")), FIRST)
