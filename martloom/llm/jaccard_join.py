@@ -43,9 +43,10 @@ from martloom.llm.components import components
 from martloom.llm.segments import FIRST, LATER, SINGLE, keyed
 
 FANOUT = 8
-LEAST_BITS, MOST_BITS = 64, 16_384
+LEAST_BITS, MOST_BITS = 512, 65_536
+BITS_A_SHINGLE = 8  # at least; few shingles share a bit, so bounds on the overlap are close to it
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
-QUOTA = 16  # growth of the pairs allowed for two components in a group
+QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
 DOCUMENT = 3  # kind of the rows that stand for a document
 
 
@@ -82,7 +83,7 @@ class Similarity:
 
 
 def width_of(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (n - 1).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, BITS_A_SHINGLE << (n - 1).bit_length()))
 
 
 def bitmap(shingles: np.ndarray, width: int) -> int:
@@ -358,7 +359,9 @@ def _shared(tokens: DataFrame, members: DataFrame, scratch: Scratch) -> DataFram
     )
     holders = holders.where("c > 1").groupBy("c", "s", "x").agg(F.min("token").alias("token"))
     chosen = scratch.save(holders.select("token", "c"), "chosen")
-    return scratch.save(held.join(chosen, "token"), "shared")
+    shared = scratch.save(held.join(chosen, "token"), "shared")
+    scratch.drop("held"), scratch.drop("chosen")
+    return shared
 
 
 def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
@@ -398,12 +401,12 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
         every.join(classes, ["token", "sig", "n"], "left").select("doc_id", "tag", "n", "class").distinct(), "members"
     )
     shared = _shared(marks.where(F.col("kind") < DOCUMENT), members, scratch)
+    scratch.drop("marks")
 
     least = shared.groupBy("doc_id").agg(F.min("token").alias("first"))
     firsts = members.where("doc_id = class").select("doc_id", "tag").distinct()
     texts = named.join(firsts.join(least, "doc_id"), ["doc_id", "tag"]).dropDuplicates(["doc_id"])
     texts = scratch.save(texts.select("doc_id", "first", "text"), "texts")
-    scratch.drop("held")
     # A hot hash is spread over tasks; what its blocks leave apart meets in the passes below.
     size = shared.select("token", "c").distinct().selectExpr("token AS first", "c")
     dealt = texts.join(size, "first").withColumn(
@@ -413,7 +416,7 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
     nodes = dealt.sortWithinPartitions("first", "block", "doc_id").mapInArrow(_clusterer(like, limit), NODE_DDL)
     nodes = scratch.save(nodes, "nodes-0")
 
-    tried, quota, step = None, 1, 0
+    tried, quota, step = None, QUOTA, 0
     while True:
         step += 1
         rows = _unfinished(shared, nodes, limit).repartition("token", "i", "j")
@@ -436,7 +439,7 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
             nodes = scratch.save(nodes, f"nodes-{step}")
         if not cut:
             break
-        quota *= QUOTA
+        quota *= QUOTA_GROWTH
     joined = members.join(nodes.selectExpr("doc_id AS class", "component"), "class", "left")
     return joined.select(
         "doc_id", "tag", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id")).alias("component")
