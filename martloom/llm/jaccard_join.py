@@ -6,7 +6,8 @@ links reach.
 
 1. Equal sets are one node from the start.
 2. Linked sets share one of their least ``n - ceil(t n) + 1`` hashes. Hashes that only one set
-   holds are dropped by a shuffle of hashes; those with the same holders are one group.
+   holds are dropped by a shuffle of hashes; those with the same holders are one group, and
+   a group whose holders all belong to another is left to that.
 3. Each node joins the group of its least shared hash. There a signature tree, whose nodes
    hold the OR of their sets' bitmaps and the range of their sizes, is traversed against
    itself: a pair of tree nodes is left as soon as bitmaps or sizes rule out the overlap that
@@ -47,6 +48,7 @@ LEAST_BITS, MOST_BITS = 512, 65_536
 BITS_A_SHINGLE = 8  # at least; few shingles share a bit, so bounds on the overlap are close to it
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
 QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
+COVER_STEPS = 2  # searches for groups that another covers; each finds some more
 DOCUMENT = 3  # kind of the rows that stand for a document
 
 
@@ -361,9 +363,30 @@ def _shared(tokens: DataFrame, members: DataFrame, scratch: Scratch) -> DataFram
     chosen = scratch.save(holders.select("token", "c"), "chosen")
     shared = scratch.save(held.join(chosen, "token"), "shared")
     scratch.drop("held"), scratch.drop("chosen")
+    for step in range(COVER_STEPS):
+        kept = scratch.save(_uncovered(shared), f"shared-{step}")
+        scratch.drop(f"shared-{step - 1}" if step else "shared")
+        shared = kept
     return shared
 
 
+def _uncovered(shared: DataFrame) -> DataFrame:
+    """``shared`` without hashes whose holders all hold one and the same lesser hash.
+
+    The pairs of such a group meet in the lesser hash's group too. As prefixes are closed
+    downwards, that is so for nearly all hashes of a passage but its least. Each holder names
+    two lesser hashes: the next below, and the one that most sets hold.
+    """
+    lesser = Window.partitionBy("doc_id").orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
+    rows = shared.withColumn("near", F.max("token").over(lesser))
+    rows = rows.withColumn("wide", F.max(F.struct("c", "token")).over(lesser)["token"])
+    named = rows.groupBy("token", "c").agg(
+        *(f(x).alias(f"{f.__name__}_{x}") for x in ("near", "wide") for f in (F.count, F.min, F.max))
+    )
+    one = [f"coalesce(count_{x} = c AND min_{x} = max_{x}, false)" for x in ("near", "wide")]
+    return shared.join(named.where(f"NOT ({one[0]} OR {one[1]})").select("token"), "token")
+
+
 def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     """Rows of groups that hold several components, dealt to the meetings of their blocks."""
     rows = shared.join(nodes.select("doc_id", "component"), "doc_id")
@@ -416,6 +439,10 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
     nodes = dealt.sortWithinPartitions("first", "block", "doc_id").mapInArrow(_clusterer(like, limit), NODE_DDL)
     nodes = scratch.save(nodes, "nodes-0")
 
+    # A group in one block, and the first of all its holders, is done with.
+    done = texts.groupBy("first").agg(F.count("*").alias("met")).join(size, "first").where(f"met = c AND c <= {limit}")
+    shared = scratch.save(shared.join(done.selectExpr("first AS token"), "token", "left_anti"), "open")
+
     tried, quota, step = None, QUOTA, 0
     while True:
         step += 1
