@@ -5,10 +5,12 @@ from __future__ import annotations
 from martloom.llm import (
     decontamination,
     jaccard_join,
+    merkle_manifest,
     packing,
     pii,
     quality_rules,
     secrets,
+    spelling_variants,
     substring_dedup,
     suffix_array_dedup,
     url_filters,
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_array_dedup.op8_suffix_array_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
+    "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op13_spelling_variants": spelling_variants.op13_spelling_variants,
 }
 
 ORACLE = {
@@ -34,4 +38,6 @@ ORACLE = {
     **quality_rules.ORACLE,
     **warc_audit.ORACLE,
     **decontamination.ORACLE,
+    **merkle_manifest.ORACLE,
+    **spelling_variants.ORACLE,
 }
