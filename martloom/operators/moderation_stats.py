@@ -18,14 +18,7 @@ def moderation_stats(reviews: DataFrame, as_of: datetime | None = None) -> DataF
     steps are combined before they are shuffled.
     """
     stats = (
-        reviews.select(
-            F.to_date("submitted_at").alias("date"),
-            "moderation_status",
-            "rating",
-            F.array_size("flags").alias("flags"),
-            "product_id",
-            "user_id",
-        )
+        review_measures(reviews)
         .groupBy("date", "moderation_status")
         .agg(
             F.count("*").alias("reviews"),
@@ -36,6 +29,23 @@ def moderation_stats(reviews: DataFrame, as_of: datetime | None = None) -> DataF
             F.count_distinct("user_id").alias("users"),
         )
     )
+    return moderation_rows(stats, as_of)
+
+
+def review_measures(reviews: DataFrame) -> DataFrame:
+    """(date, moderation_status, rating, flags, product_id, user_id) of each review."""
+    return reviews.select(
+        F.to_date("submitted_at").alias("date"),
+        "moderation_status",
+        "rating",
+        F.array_size("flags").alias("flags"),
+        "product_id",
+        "user_id",
+    )
+
+
+def moderation_rows(stats: DataFrame, as_of: datetime | None) -> DataFrame:
+    """The mart from the totals of its groups."""
     return stats.select(
         "date",
         "moderation_status",

@@ -12,7 +12,7 @@ from martloom.functions.exact import as_int, as_numeric, instant, mean_2dp
 
 # Fixed value: the only prefix taken off a page; all other pages keep their path.
 PRODUCT_PREFIX = "^/products/"
-_MEASURES = ("prefixed_views", "bare_views", "reviews", "rating_sum", "rated", "recommendations")
+MEASURES = ("prefixed_views", "bare_views", "reviews", "rating_sum", "rated", "recommendations")
 
 
 def strip_prefix(page: Column) -> Column:
@@ -85,6 +85,27 @@ def product_popularity(
     * A NULL date matches nothing in a join, so rows without a date are also
       grouped by their source.
     """
+    rows = reduce(
+        DataFrame.unionByName,
+        [view_measures(sessions), review_measures(reviews), recommendation_measures(recommendations)],
+    )
+    totals = rows.groupBy("date", "product_id", "undated").agg(
+        *[F.sum(m).alias(m) for m in MEASURES]
+    )
+    return popularity_rows(totals, as_of)
+
+
+def _measured(rows: DataFrame, source: int) -> DataFrame:
+    return rows.filter("product_id IS NOT NULL").select(
+        "date",
+        "product_id",
+        F.when(F.col("date").isNull(), F.lit(source)).alias("undated"),
+        *[F.col(m) if m in rows.columns else F.lit(0).cast("bigint").alias(m) for m in MEASURES],
+    )
+
+
+def view_measures(sessions: DataFrame) -> DataFrame:
+    """(date, product_id, undated, measures): a row a page view."""
     page = F.col("page")
     views = _viewed(sessions).select(
         "date",
@@ -92,6 +113,11 @@ def product_popularity(
         page.rlike(PRODUCT_PREFIX).cast("bigint").alias("prefixed_views"),
         (~page.rlike(PRODUCT_PREFIX)).cast("bigint").alias("bare_views"),
     )
+    return _measured(views, 0)
+
+
+def review_measures(reviews: DataFrame) -> DataFrame:
+    """The same, a row an approved review."""
     rated = _approved(reviews).select(
         "date",
         "product_id",
@@ -99,29 +125,19 @@ def product_popularity(
         F.col("rating").cast("bigint").alias("rating_sum"),
         F.col("rating").isNotNull().cast("bigint").alias("rated"),
     )
+    return _measured(rated, 1)
+
+
+def recommendation_measures(recommendations: DataFrame) -> DataFrame:
+    """The same, a row a recommended product."""
     advised = _recommended(recommendations).select(
         "date", "product_id", F.lit(1).cast("bigint").alias("recommendations")
     )
+    return _measured(advised, 2)
 
-    def contribution(rows: DataFrame, source: int) -> DataFrame:
-        return rows.filter("product_id IS NOT NULL").select(
-            "date",
-            "product_id",
-            F.when(F.col("date").isNull(), F.lit(source)).alias("undated"),
-            *[
-                F.col(m) if m in rows.columns else F.lit(0).cast("bigint").alias(m)
-                for m in _MEASURES
-            ],
-        )
-
-    rows = reduce(
-        DataFrame.unionByName,
-        [contribution(r, n) for n, r in enumerate((views, rated, advised))],
-    )
-    totals = rows.groupBy("date", "product_id", "undated").agg(
-        *[F.sum(m).alias(m) for m in _MEASURES]
-    )
 
+def popularity_rows(totals: DataFrame, as_of: datetime | None) -> DataFrame:
+    """The mart from the totals of (date, product, undated)."""
     prefixed, bare = F.col("prefixed_views"), F.col("bare_views")
     counts = F.when((prefixed > 0) & (bare > 0), F.array(prefixed, bare)).otherwise(
         F.array(prefixed + bare)

@@ -35,17 +35,7 @@ def support_efficiency(tickets: DataFrame, as_of: datetime | None = None) -> Dat
     distinct count as an aggregation by (group, user) before the one by group,
     so a hot group is spread by user and the sums are combined on the way.
     """
-    closed = F.col("status") == "closed"
-    resolved = closed & (F.col("updated_at") > F.col("created_at"))
-    rows = tickets.select(
-        F.to_date("created_at").alias("date"),
-        "issue_type",
-        "user_id",
-        (F.col("status") == "open").alias("open"),
-        closed.alias("closed"),
-        F.when(resolved, micros_between(F.col("created_at"), F.col("updated_at"))).alias("micros"),
-        message_count(F.col("messages")).alias("messages"),
-    )
+    rows = ticket_measures(tickets)
     stats = rows.groupBy("date", "issue_type").agg(
         F.count("*").alias("tickets"),
         F.count_if("open").alias("open"),
@@ -57,6 +47,26 @@ def support_efficiency(tickets: DataFrame, as_of: datetime | None = None) -> Dat
         F.sum("messages").alias("messages"),
         F.count_distinct("user_id").alias("users"),
     )
+    return support_rows(stats, as_of)
+
+
+def ticket_measures(tickets: DataFrame) -> DataFrame:
+    """(date, issue_type, user_id, open, closed, micros, messages) of each ticket."""
+    closed = F.col("status") == "closed"
+    resolved = closed & (F.col("updated_at") > F.col("created_at"))
+    return tickets.select(
+        F.to_date("created_at").alias("date"),
+        "issue_type",
+        "user_id",
+        (F.col("status") == "open").alias("open"),
+        closed.alias("closed"),
+        F.when(resolved, micros_between(F.col("created_at"), F.col("updated_at"))).alias("micros"),
+        message_count(F.col("messages")).alias("messages"),
+    )
+
+
+def support_rows(stats: DataFrame, as_of: datetime | None) -> DataFrame:
+    """The mart from the totals of its groups."""
 
     def hours(total: str, count: Column, name: str) -> Column:
         value = mean_2dp(F.col(total), count, MICROS_PER_HOUR)

@@ -49,17 +49,23 @@ def upsert(
     columns of a known key keep the target's value, ``loaded_at`` (if the target
     has it) becomes ``as_of`` for every key of the batch, and no key is deleted.
 
-    The batch is reduced to one row per key and then full-outer-joined, both
-    sides unique on the key, so the join cannot skew. The reduced batch already
-    has the join's partitioning; a target bucketed by ``key`` needs no exchange
-    at all, so only the batch moves.
+    The batch is reduced to one row per key first, so that the join has unique keys on
+    both sides and cannot skew. The reduced batch already has the join's partitioning; a
+    target bucketed by ``key`` needs no exchange at all, so only the batch moves.
     """
     values = [c for c in target.columns if c not in (key, "loaded_at")]
     incoming = last_per_key(batch, key, order_by, sticky, values)
     if "loaded_at" in target.columns:
         incoming = incoming.withColumn("loaded_at", instant(as_of))
+    return merge_newer(target, incoming, key, sticky)
 
-    old, new = target.alias("old"), incoming.alias("new")
+
+def merge_newer(target: DataFrame, newer: DataFrame, key: str, sticky: Sequence[str] = ()) -> DataFrame:
+    """``target`` with the rows of ``newer`` in place of its own, but for its sticky values.
+
+    Both have the columns of ``target`` and unique keys.
+    """
+    old, new = target.alias("old"), newer.alias("new")
     known = F.col(f"old.{key}").isNotNull()
     arrived = F.col(f"new.{key}").isNotNull()
 

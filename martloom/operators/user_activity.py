@@ -36,6 +36,16 @@ def user_activity(
     removes duplicates and spreads a hot user over all tasks; the second sees one
     row per distinct item and has a partial step before its shuffle.
     """
+    items = activity_items(sessions, counting)
+    by_item = items.groupBy("date", "user_id", "kind", "item").agg(
+        *[F.sum(c).alias(c) for c in ("copies", "micros", "timed", "pages", "actions")],
+        F.max("end_time").alias("end_time"),
+    )
+    return activity_rows(by_item, as_of)
+
+
+def activity_items(sessions: DataFrame, counting: str) -> DataFrame:
+    """(date, user_id, kind, item, measures): a row a session, page and action."""
     if counting not in COUNTINGS:
         raise ValueError(f"counting must be one of {COUNTINGS}, not {counting!r}")
 
@@ -75,7 +85,7 @@ def user_activity(
     def of_session(value: Column) -> Column:
         return F.when(is_session, value)
 
-    items = exploded.select(
+    return exploded.select(
         "date",
         "user_id",
         F.when(is_session, "session").when(is_action, "action").otherwise("page").alias("kind"),
@@ -87,11 +97,10 @@ def user_activity(
         of_session(n_actions * per_session).alias("actions"),
         of_session(F.col("end_time")).alias("end_time"),
     )
-    by_item = items.groupBy("date", "user_id", "kind", "item").agg(
-        *[F.sum(c).alias(c) for c in ("copies", "micros", "timed", "pages", "actions")],
-        F.max("end_time").alias("end_time"),
-    )
 
+
+def activity_rows(by_item: DataFrame, as_of: datetime | None) -> DataFrame:
+    """The mart from its items, each of them once in its (date, user, kind)."""
     # Most copies first, then the smallest action in byte order.
     by_user = by_item.groupBy("date", "user_id").agg(
         F.expr("sum(copies) FILTER (WHERE kind = 'session')").alias("sessions"),

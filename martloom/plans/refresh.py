@@ -1,4 +1,4 @@
-"""One run of the whole job: five raw loads, then four marts."""
+"""One run of the whole job: five raw loads, then four marts, published together."""
 
 from __future__ import annotations
 
@@ -6,16 +6,19 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.functions.exact import instant
+from martloom.operators.mart_state import MART_STATES, MartState, summed
 from martloom.operators.moderation_stats import moderation_stats
 from martloom.operators.product_popularity import product_popularity
 from martloom.operators.quality import duplicate_keys, enforce, raise_on
 from martloom.operators.support_efficiency import support_efficiency
-from martloom.operators.upsert import upsert
+from martloom.operators.upsert import last_per_key, merge_newer
 from martloom.operators.user_activity import user_activity
 from martloom.schemas import (
     MARTS,
@@ -28,7 +31,7 @@ from martloom.schemas import (
     RawTable,
 )
 from martloom.sources.documents import accepted, parse, read_documents, rejected
-from martloom.sources.warehouse import Warehouse
+from martloom.sources.warehouse import Part, Run, Snapshot, Version, Warehouse
 
 
 @dataclass(frozen=True)
@@ -51,55 +54,133 @@ def read_collections(spark: SparkSession, root: str, suffix: str = ".jsonl") ->
 
 
 def load_raw(
-    warehouse: Warehouse,
+    target: Warehouse | Run,
     table: RawTable,
     documents: DataFrame,
     as_of: datetime,
     batch_bytes: int | None = None,
 ) -> LoadReport:
-    """Parse, check and upsert one collection, then publish the new version.
+    """Parse and check one collection, and append it to its table as a change set.
 
     The source is read once: its documents are parsed into the warehouse's shared folder,
-    split by whether they were rejected. Emptiness, counts, the quarantine and the upsert
+    split by whether they were rejected. Emptiness, counts, the quarantine and the change set
     come from there, so they agree even when the source changes meanwhile. A bad value fails
-    the upsert's write and nothing is published. ``batch_bytes`` is the size the batch will
-    have when stored, by default that of the parsed files.
+    the write and nothing is published. ``batch_bytes`` is the size the batch will have when
+    stored, by default that of the parsed files.
+
+    Given a warehouse, the load is a run of its own, with its compaction.
     """
-    run = as_of.strftime("%Y%m%dT%H%M%S%f")
-    path = warehouse.parsed_path(table, run)
+    if isinstance(target, Warehouse):
+        with target.begin() as run:
+            report = load_raw(run, table, documents, as_of, batch_bytes)
+            for state in MART_STATES.values():  # sums that would lack this load
+                if table in state.sources:
+                    run.drop(state.state.name)
+            if report.accepted:
+                run.compact(table)
+            run.commit()
+            return report
+    run, warehouse = target, target.warehouse
+    stamp = as_of.strftime("%Y%m%dT%H%M%S%f")
+    path = warehouse.parsed_path(table, run.run)
     try:
         rejects = F.col("reject_reason").isNotNull()
         parsed = parse(documents, table).withColumns(
             {"rejected": rejects, "document": F.when(rejects, F.col("document"))}
         )
         parsed.write.mode("overwrite").partitionBy("rejected").parquet(path)
-        size = warehouse.size(path) if batch_bytes is None else batch_bytes
-        own = warehouse.lined_up(table, size)
-        staged = own.spark.read.schema(parsed.schema).parquet(path)
+        size = warehouse.files.size(path) if batch_bytes is None else batch_bytes
+        spark = run.session_for(table, size)
+        staged = spark.read.schema(parsed.schema).parquet(path)
         counts = {r["rejected"]: r["n"] for r in staged.groupBy("rejected").agg(F.count("*").alias("n")).collect()}
         good, bad = counts.get(False, 0), counts.get(True, 0)
         if bad:
-            warehouse.keep_rejected(rejected(staged.where("rejected"), table), table.collection, run)
+            warehouse.keep_rejected(rejected(staged.where("rejected"), table), table.collection, stamp)
         if good:
             batch = enforce(accepted(staged.where("NOT rejected"), table), table)
-            merged = upsert(own.read(table), batch, table.key, ["read_order"], table.sticky, as_of)
-            warehouse.publish(own.stage(merged, table))
-        return LoadReport(table.name, warehouse.read(table).count(), good + bad, good, bad)
+            latest = last_per_key(batch, table.key, ["read_order"], table.sticky, table.column_names)
+            run.append(table, latest.withColumn("loaded_at", instant(as_of)), size)
+        return LoadReport(table.name, run.read(table).count(), good + bad, good, bad)
     finally:
-        warehouse.remove(path)
+        warehouse.files.delete(path)
+
+
+def build_mart(target: Warehouse | Run, mart: MartTable, rows: DataFrame, dates: list[str] | None = None) -> LoadReport:
+    """Rebuild one mart from scratch, or only the given dates of it.
+
+    What is gone from the source disappears with the rows that are replaced.
+    """
+    if isinstance(target, Warehouse):
+        with target.begin() as run:
+            report = build_mart(run, mart, rows, dates)
+            run.commit()
+            return report
+    run = target
+    version = run.stage_mart(enforce(rows, mart), mart, dates)
+    added = run.warehouse.read_version(Version(mart, 0, (Part(version.parts[-1].number),)))
+    raise_on(duplicate_keys(added, mart))
+    run.put(version)
+    return LoadReport(mart.name, run.read(mart).count())
+
+
+def changed_rows(run: Run, table: RawTable) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of the keys that this run's loads brought, as they were before and as they are.
+
+    None when the run's parts do not tell: the table was rewritten. The stored rows are read
+    once, filtered by key where they lie; only what is left is merged and written.
+    """
+    before, now = run.start.versions.get(table.name), run.versions.get(table.name)
+    old = before.parts if before else ()
+    new = now.parts[len(old) :] if now else ()
+    if now and (now.parts[: len(old)] != old or not old):
+        return None
+    if not new:
+        nothing = run.warehouse.spark.createDataFrame([], table.schema)
+        return nothing, nothing
+    newer = run.warehouse.reduced(Version(table, now.buckets, new), None, run.warehouse.spark)
+    known = run.start.read(table, newer.select(table.key))
+    path = f"{run.warehouse.parsed_path(table, run.run)}-known"
+    known.write.mode("overwrite").parquet(path)
+    known = run.warehouse.spark.read.schema(table.schema).parquet(path)
+    return known, merge_newer(known, newer, table.key, table.sticky)
+
 
+def update_mart(run: Run, spec: MartState, changes: Mapping[RawTable, tuple | None], as_of: datetime) -> LoadReport:
+    """Bring a mart up to date from changed rows alone.
 
-def build_mart(warehouse: Warehouse, mart: MartTable, rows: DataFrame) -> LoadReport:
-    """Rebuild one mart from scratch; dates that are gone disappear with the old version."""
-    version = warehouse.stage(enforce(rows, mart), mart)
-    staged = warehouse.read_version(version)
-    raise_on(duplicate_keys(staged, mart))
-    warehouse.publish(version)
-    return LoadReport(mart.name, staged.count())
+    They are added to the mart's stored sums and taken from them, and the dates that this touches
+    are built anew from the sums. Without sums, or where a table was rewritten, the sums are
+    built from all rows. Stamps of untouched dates stay.
+    """
+    state, mart = spec.state, spec.mart
+    sources = {table: changes[table] for table in spec.sources}
+    known = state.name in run.versions and mart.name in run.versions
+    if not known or any(c is None for c in sources.values()):
+        rows = [part for table in sources for part in spec.contributions(table, run.read(table))]
+        run.add_state(summed(reduce(DataFrame.unionByName, rows), state), state, replace=True)
+        return build_mart(run, mart, spec.finish(run.read(state), as_of))
+    rows = []
+    for table, (before, after) in sources.items():
+        rows += spec.contributions(table, before, -1) + spec.contributions(table, after)
+    version = run.add_state(summed(reduce(DataFrame.unionByName, rows), state), state)
+    added = run.warehouse.read_version(Version(state, 0, version.parts[-1:]))
+    dates = [r["date"] for r in added.select(F.col("date").cast("string")).distinct().collect()]
+    sums = run.read(state)
+    if len(run.versions[mart.name].parts) >= run.warehouse.most_parts:
+        report = build_mart(run, mart, spec.finish(sums, as_of))
+    else:
+        touched = F.col("date").isin([F.to_date(F.lit(d)) for d in dates if d is not None])
+        # A row without a date breaks the mart's key, which the check has to see.
+        report = build_mart(
+            run, mart, spec.finish(sums.where(touched | F.col("date").isNull()), as_of), [d for d in dates if d is not None]
+        )
+    run.compact_state(state)
+    return report
 
 
-def mart_frame(warehouse: Warehouse, mart: str, as_of: datetime, counting: str) -> DataFrame:
-    read = warehouse.read
+def mart_frame(tables: Warehouse | Snapshot, mart: str, as_of: datetime, counting: str) -> DataFrame:
+    """A mart from all raw rows."""
+    read = tables.read
     if mart == "user_activity":
         return user_activity(read(USER_SESSIONS), counting, as_of)
     if mart == "support_efficiency":
@@ -111,10 +192,22 @@ def mart_frame(warehouse: Warehouse, mart: str, as_of: datetime, counting: str)
     )
 
 
-def _all(spark: SparkSession, tasks: list[Callable[[], LoadReport]]) -> list[LoadReport]:
-    """Run independent tasks side by side; every one ends before errors are raised, all of them."""
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+def _all(spark: SparkSession, tasks: Mapping[str, Callable[[], LoadReport]]) -> list[LoadReport]:
+    """Run independent tasks side by side; every one ends before errors are raised, all of them.
+
+    Each has a scheduler pool of its own name: where the application schedules fairly
+    (``spark.scheduler.mode=FAIR``), a large load leaves the others their share of the cores.
+    """
+
+    def pooled(name: str, task: Callable[[], LoadReport]) -> Callable[[], LoadReport]:
+        def run() -> LoadReport:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return task()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        running = [pool.submit(pooled(name, task)) for name, task in tasks.items()]
     failed = [r.exception() for r in running if r.exception() is not None]
     if len(failed) > 1:
         raise RuntimeError("; ".join(str(e) for e in failed)) from failed[0]
@@ -127,27 +220,46 @@ def refresh(
     warehouse: Warehouse,
     as_of: datetime | None = None,
     counting: str = "product",
+    marts: str = "rebuild",
+    resume: bool = False,
 ) -> list[LoadReport]:
-    """Load every collection, and when all are loaded rebuild every mart.
+    """Load every collection, and when all are loaded bring every mart up to date.
+
+    ``sources`` maps a collection name to its documents (``document``, ``read_order``).
+    ``marts="rebuild"`` computes every mart from all raw rows, ``"update"`` from the rows that
+    the loads changed; the results are equal but for stamps of rows that did not change.
 
-    ``sources`` maps a collection name to its documents (``document``,
-    ``read_order``). A failed load stops the run before the marts; tables that were
-    published by then stay published. Running twice gives the same tables apart
-    from the stamps.
+    The run holds the warehouse's lease and publishes everything at its end. When it fails, all
+    tables stay as they were; ``resume`` then takes over the loads that had succeeded.
+    Running twice gives the same tables apart from the stamps.
     """
+    if marts not in ("rebuild", "update"):
+        raise ValueError(f"marts must be 'rebuild' or 'update', not {marts!r}")
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    loads = _all(
-        spark,
-        [
-            lambda t=table: load_raw(warehouse, t, sources[t.collection], as_of)
-            for table in RAW_TABLES.values()
-        ],
-    )
-    marts = _all(
-        spark,
-        [
-            lambda m=mart: build_mart(warehouse, m, mart_frame(warehouse, m.name, as_of, counting))
-            for mart in MARTS.values()
-        ],
-    )
-    return loads + marts
+    with warehouse.begin(resume) as run:
+        loads = _all(
+            spark,
+            {
+                table.name: lambda t=table: load_raw(run, t, sources[t.collection], as_of)
+                for table in RAW_TABLES.values()
+                if table.name not in run.done
+            },
+        )
+        if marts == "rebuild":
+            for name in [spec.state.name for spec in MART_STATES.values()]:
+                run.drop(name)
+            builds = {
+                m.name: lambda m=m: build_mart(run, m, mart_frame(run, m.name, as_of, counting))
+                for m in MARTS.values()
+            }
+        else:
+            changes = {t: changed_rows(run, t) for t in RAW_TABLES.values() if any(t in s.sources for s in MART_STATES.values())}
+            builds = {
+                name: lambda n=name: update_mart(run, MART_STATES[n, counting], changes, as_of) for name in MARTS
+            }
+        built = _all(spark, builds)
+        for table in RAW_TABLES.values():
+            if table.name in run.versions:
+                run.compact(table)
+        run.commit()
+    return loads + built

@@ -1,24 +1,33 @@
-"""Queries over stored tables: what two loads, a failed one and an empty one leave behind.
+"""Queries over stored tables: what three loads, an empty one and a failed one leave behind.
 
 The derived documents are written as JSON Lines files, read back by ``read_collections``
-and loaded in two batches into one warehouse. By the first hex digit of its key's MD5 a row is
-
-``0-3``  in the second batch only (new there)
-``4-7``  in both, changed in the second
-``8-f``  in the first only; those of ``c`` come back as a document without its keys
-
-One run serves all queries of a session over the same tables.
+and loaded in three batches. By the first hex digit of its key's MD5 a row is
+
+``0``    in the third batch only (new there)
+``1``    in the second only
+``2-3``  in the second (new there) and the third
+``4-5``  in all three
+``6-7``  in the first two
+``8-f``  in the first only; those of ``c`` come back in the second as a document without its keys
+
+A later batch changes its rows. After the second the changes are more than the warehouse leaves
+uncompacted, after the third they are less: the tables are then a new base and a change set.
+One run serves all queries of a session over the same tables. ``stored_*`` marts are
+rebuilt with every batch; ``updated_*`` are kept up from changed rows, in a warehouse of their own.
 """
 
 from __future__ import annotations
 
+import atexit
+import os
 import uuid
 from collections.abc import Callable
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martloom.plans.refresh import LoadReport, load_raw, read_collections, refresh
 from martloom.schemas import (
@@ -36,21 +45,22 @@ from martloom.sources import sample
 from martloom.sources.documents import documents_from
 from martloom.sources.warehouse import Warehouse
 
-FIRST, SECOND, THIRD = (datetime(2024, 2, day) for day in (1, 2, 3))
-_RUNS: dict[tuple[str, str], tuple[Warehouse, list[tuple]]] = {}
+FIRST, SECOND, THIRD, FOURTH = (datetime(2024, 2, day) for day in (1, 2, 3, 4))
+SHARE = 0.3  # of changes to the base that is left uncompacted
+_RUNS: dict[tuple, tuple[Warehouse, list[tuple]]] = {}
 
 
-def _later(column: str) -> Column:
-    return F.col(column) + F.expr("INTERVAL '1' DAY")
+def _later(column: str, days: int) -> Column:
+    return F.col(column) + F.expr(f"INTERVAL '{days}' DAY")
 
 
-#: What the second batch changes. Start of a session and creation of a ticket are sticky.
-CHANGES: dict[RawTable, dict[str, Callable[[], Column]]] = {
-    USER_SESSIONS: {"start_time": partial(_later, "start_time"), "device": partial(F.lit, "changed")},
-    EVENT_LOGS: {"event_type": partial(F.lit, "changed")},
-    SUPPORT_TICKETS: {"created_at": partial(_later, "created_at"), "status": partial(F.lit, "closed")},
-    USER_RECOMMENDATIONS: {"last_updated": partial(_later, "last_updated")},
-    MODERATION_QUEUE: {"rating": partial(F.lit, 1)},
+#: What the second and the third batch change. Start of a session and creation of a ticket are sticky.
+CHANGES: dict[RawTable, Callable[[int], dict[str, Column]]] = {
+    USER_SESSIONS: lambda n: {"start_time": _later("start_time", n), "device": F.lit(("changed", "again")[n - 1])},
+    EVENT_LOGS: lambda n: {"event_type": F.lit(("changed", "again")[n - 1])},
+    SUPPORT_TICKETS: lambda n: {"created_at": _later("created_at", n), "status": F.lit(("closed", "open")[n - 1])},
+    USER_RECOMMENDATIONS: lambda n: {"last_updated": _later("last_updated", n)},
+    MODERATION_QUEUE: lambda n: {"rating": F.lit(n)},
 }
 
 
@@ -69,13 +79,18 @@ def _write_batches(rows: dict[RawTable, DataFrame], root: str) -> None:
     for table, df in rows.items():
         digit = F.substring(F.md5(table.key), 1, 1)
         keep_nulls = table is not SUPPORT_TICKETS
-        first = sample.as_documents(df.where(digit >= "4"), table, keep_nulls).select("document")
-        changed = df.where(digit < "8").withColumns({n: make() for n, make in CHANGES[table].items()})
+
+        def batch(chosen: Column, changes: dict[str, Column]) -> DataFrame:
+            return sample.as_documents(df.where(chosen).withColumns(changes), table, keep_nulls).select("document")  # noqa: B023
+
         lost = F.to_json(F.struct(F.col(table.key).alias("lost"))).alias("document")
-        second = sample.as_documents(changed, table, keep_nulls).select("document")
-        second = second.unionByName(df.where(digit == "c").select(lost))
-        for name, batch in (("first", first), ("second", second)):
-            batch.write.mode("overwrite").text(f"{root}/{name}/{table.collection}.jsonl")
+        batches = {
+            "first": batch(digit >= "4", {}),
+            "second": batch(digit.between("1", "7"), CHANGES[table](1)).unionByName(df.where(digit == "c").select(lost)),
+            "third": batch((digit == "0") | digit.between("2", "5"), CHANGES[table](2)),
+        }
+        for name, documents in batches.items():
+            documents.write.mode("overwrite").text(f"{root}/{name}/{table.collection}.jsonl")
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -83,35 +98,50 @@ def _shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, list[tuple]]:
-    """The warehouse after all loads, and what they reported."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _state_of(sf_dir: str) -> tuple:
+    """Tells apart contents of the source tables, where that is a local folder."""
+    if not os.path.isdir(sf_dir):
+        return ()
+    return tuple(sorted((e.name, e.stat().st_mtime_ns, e.stat().st_size) for e in os.scandir(sf_dir)))
+
+
+def _drop(spark: SparkSession, warehouse: Warehouse, root: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        warehouse.drop()
+        warehouse.files.delete(root)
+
+
+def _loaded(spark: SparkSession, sf_dir: str, marts: str = "rebuild") -> tuple[Warehouse, list[tuple]]:
+    """The warehouse after all loads, and what they reported. Gone when the process ends."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of(sf_dir), marts)
     if key in _RUNS:
         return _RUNS[key]
     root = f"{_shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     _write_batches(_rows(spark, sf_dir), f"{root}/landing")
-    warehouse = Warehouse(spark, f"{root}/warehouse", keep=1)
+    warehouse = Warehouse(spark, f"{root}/warehouse", keep=3, compact_share=SHARE)
+    atexit.register(_drop, spark, warehouse, root)
 
     def told(batch: int, reports: list[LoadReport]) -> list[tuple]:
         return [(batch, r.table, r.source, r.accepted, r.rejected, r.rows) for r in reports]
 
     reports = []
-    for batch, (name, as_of) in enumerate((("first", FIRST), ("second", SECOND)), 1):
-        done = refresh(spark, read_collections(spark, f"{root}/landing/{name}"), warehouse, as_of)
-        reports += told(batch, done)
-    nothing = documents_from(spark.createDataFrame([], "n int, text string"), "text", ["n"])
-    reports += told(3, [load_raw(warehouse, EVENT_LOGS, nothing, THIRD)])
-    # One value too long for its column: the whole batch must fail and leave the table.
-    orders = sample.table(spark, sf_dir, "orders")
-    wrong = F.to_json(F.struct(F.concat(F.repeat(F.lit("x"), 60), F.col("o_custkey").cast("string")).alias("user_id")))
-    bad = documents_from(orders.select(wrong.alias("text"), "o_orderkey"), "text", ["o_orderkey"])
-    try:
-        load_raw(warehouse, USER_RECOMMENDATIONS, bad, THIRD)
-    except Exception as error:  # noqa: BLE001 - the job's own message is looked for
-        if "length user_id" not in str(error):
-            raise
-        left = warehouse.read(USER_RECOMMENDATIONS).count()
-        reports.append((4, USER_RECOMMENDATIONS.name, None, None, None, left))
+    for batch, (name, as_of) in enumerate((("first", FIRST), ("second", SECOND), ("third", THIRD)), 1):
+        documents = read_collections(spark, f"{root}/landing/{name}")
+        reports += told(batch, refresh(spark, documents, warehouse, as_of, marts=marts))
+    if marts == "rebuild":
+        nothing = documents_from(spark.createDataFrame([], "n int, text string"), "text", ["n"])
+        reports += told(4, [load_raw(warehouse, EVENT_LOGS, nothing, FOURTH)])
+        # One value too long for its column: the whole batch must fail and leave the table.
+        orders = sample.table(spark, sf_dir, "orders")
+        wrong = F.to_json(F.struct(F.concat(F.repeat(F.lit("x"), 60), F.col("o_custkey").cast("string")).alias("user_id")))
+        bad = documents_from(orders.select(wrong.alias("text"), "o_orderkey"), "text", ["o_orderkey"])
+        try:
+            load_raw(warehouse, USER_RECOMMENDATIONS, bad, FOURTH)
+        except Exception as error:  # noqa: BLE001 - the job's own message is looked for
+            if "length user_id" not in str(error):
+                raise
+            left = warehouse.read(USER_RECOMMENDATIONS).count()
+            reports.append((5, USER_RECOMMENDATIONS.name, None, None, None, left))
     _RUNS[key] = warehouse, reports
     return _RUNS[key]
 
@@ -146,6 +176,45 @@ def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir)[0].quarantine()
 
 
+def _updated(mart: MartTable, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as updates from changed rows leave it."""
+    return _flat(_loaded(spark, sf_dir, "update")[0].read(mart)).drop("updated_at")
+
+
+def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table as each kept run left them: the second to the fourth."""
+    warehouse = _loaded(spark, sf_dir)[0]
+    counts = []
+    for run in warehouse.runs():
+        tables = warehouse.snapshot(run)
+        for table in (*RAW_TABLES.values(), *MARTS.values()):
+            name = F.lit(table.name).alias("table")
+            counts.append(tables.read(table).agg(F.count("*").alias("rows")).select(F.lit(run).alias("run"), name, "rows"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def stored_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each mart its dates, rows, and files whose range of (date, key) meets that of another."""
+    counts = []
+    for mart in MARTS.values():
+        rows = _loaded(spark, sf_dir)[0].read(mart)
+        key = F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(mart.keys)])
+        files = rows.groupBy(F.input_file_name().alias("file"), "date").agg(
+            F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")
+        )
+        before = F.max("high").over(Window.partitionBy("date").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+        files = files.withColumn("meets", F.col("low") <= before)
+        counts.append(
+            files.agg(
+                F.lit(mart.name).alias("table"),
+                F.count_distinct("date").alias("dates"),
+                F.sum("n").alias("rows"),
+                F.count_if("meets").alias("overlaps"),
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read, accepted and rejected by each load, and rows stored after it."""
     schema = "batch int, `table` string, source long, accepted long, rejected long, rows long"
@@ -154,6 +223,9 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     **{f"stored_{t.name}": partial(_stored, t) for t in (*RAW_TABLES.values(), *MARTS.values())},
+    **{f"updated_{m.name}": partial(_updated, m) for m in MARTS.values()},
     "stored_quarantine": stored_quarantine,
+    "stored_snapshot": stored_snapshot,
+    "stored_order": stored_order,
     "load_counts": load_counts,
 }

@@ -1,46 +1,61 @@
-"""DuckDB SQL for the stored tables: the derived rows with the second batch's changes."""
+"""DuckDB SQL for the stored tables: the derived rows with the changes of the later batches."""
 
 from __future__ import annotations
 
 from martloom.plans import oracle
 
-_FIRST, _SECOND = "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-02-02 00:00:00'"
-_STAMP = f"CASE WHEN h < '8' THEN {_SECOND} ELSE {_FIRST} END AS loaded_at"
-_LATER = "+ INTERVAL 1 DAY"
+_DAYS = {n: f"TIMESTAMP '2024-02-0{n} 00:00:00'" for n in (1, 2, 3)}
+#: Rows that each batch holds, by the digit ``h`` of their key, and rows that are there after it.
+_IN = {1: "h >= '4'", 2: "h BETWEEN '1' AND '7'", 3: "(h = '0' OR h BETWEEN '2' AND '5')"}
+_THERE = {1: "h >= '4'", 2: "h >= '1'", 3: "true"}
 
 
-def _rest(name: str, base: str, key: str, replaced: str) -> str:
-    """``name`` as the rows of ``base`` after both batches."""
+def _last(batch: int, old: str, second: str, third: str) -> str:
+    """The value of the last batch up to ``batch`` that holds the row."""
+    cases = {3: f"WHEN {_IN[3]} THEN {third} ", 2: f"WHEN {_IN[2]} THEN {second} "}
+    chosen = "".join(case for n, case in cases.items() if n <= batch)
+    return f"CASE {chosen}ELSE {old} END" if chosen else old
+
+
+def _sticky(column: str) -> str:
+    """The value of the first batch that holds the row."""
     return (
-        f"{name} AS (SELECT * REPLACE ({replaced}), {_STAMP} "
-        f"FROM (SELECT *, substr(md5({key}), 1, 1) AS h FROM {base}))"
+        f"CASE WHEN h = '0' THEN {column} + INTERVAL 2 DAY WHEN h < '4' THEN {column} + INTERVAL 1 DAY "
+        f"ELSE {column} END AS {column}"
     )
 
 
+def _stamp(batch: int) -> str:
+    return f"{_last(batch, _DAYS[1], _DAYS[2], _DAYS[3])} AS loaded_at"
+
+
+#: Per derived table its name, key and the columns that batches change.
 _PARTS = {
     oracle._SESSIONS: (
         "user_sessions", "session_id",
-        f"CASE WHEN h < '4' THEN start_time {_LATER} ELSE start_time END AS start_time, "
-        "CASE WHEN h < '8' THEN 'changed' ELSE device END AS device",
+        lambda n: f"{_sticky('start_time')}, {_last(n, 'device', repr('changed'), repr('again'))} AS device",
     ),
     oracle._TICKETS: (
         "support_tickets", "ticket_id",
-        f"CASE WHEN h < '4' THEN created_at {_LATER} ELSE created_at END AS created_at, "
-        "CASE WHEN h < '8' THEN 'closed' ELSE status END AS status",
+        lambda n: f"{_sticky('created_at')}, {_last(n, 'status', repr('closed'), repr('open'))} AS status",
     ),
-    oracle._REVIEWS: ("moderation_queue", "review_id", "CAST(CASE WHEN h < '8' THEN 1 ELSE rating END AS INTEGER) AS rating"),
+    oracle._REVIEWS: ("moderation_queue", "review_id", lambda n: f"CAST({_last(n, 'rating', '1', '2')} AS INTEGER) AS rating"),
     oracle._RECOMMENDATIONS: (
         "user_recommendations", "user_id",
-        f"CASE WHEN h < '8' THEN last_updated {_LATER} ELSE last_updated END AS last_updated",
+        lambda n: f"{_last(n, 'last_updated', 'last_updated + INTERVAL 1 DAY', 'last_updated + INTERVAL 2 DAY')} AS last_updated",
     ),
 }
 
 
-def _after(sql: str) -> str:
-    """``sql`` over the tables as both batches leave them."""
+def _after(sql: str, batch: int = 3) -> str:
+    """``sql`` over the tables as the batches up to ``batch`` leave them."""
     for part, (name, key, replaced) in _PARTS.items():
         before = part.replace(f"{name} AS (", f"derived_{name} AS (")
-        sql = sql.replace(part, f"{before}, {_rest(name, f'derived_{name}', key, replaced)}")
+        rows = (
+            f"{name} AS (SELECT * REPLACE ({replaced(batch)}), {_stamp(batch)} "
+            f"FROM (SELECT *, substr(md5({key}), 1, 1) AS h FROM derived_{name}) WHERE {_THERE[batch]})"
+        )
+        sql = sql.replace(part, f"{before}, {rows}")
     return sql
 
 
@@ -50,8 +65,8 @@ def _raw(name: str, columns: str, part: str) -> str:
 
 _EVENTS = f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS timestamp,
-       CASE WHEN h < '8' THEN 'changed' ELSE event_type END AS event_type,
-       '{{"k":' || regexp_extract(props, '[0-9]+') || '}}' AS details, {_STAMP}
+       {_last(3, "event_type", "'changed'", "'again'")} AS event_type,
+       '{{"k":' || regexp_extract(props, '[0-9]+') || '}}' AS details, {_stamp(3)}
 FROM (SELECT *, substr(md5(CAST(event_id AS VARCHAR)), 1, 1) AS h FROM events)"""
 
 _KEYS = f"""
@@ -77,34 +92,46 @@ _MART_ROWS = {
 }
 
 
-def _first_only(sql: str) -> str:
-    """``sql`` over the tables as the first batch alone leaves them."""
-    for part, (name, key, _) in _PARTS.items():
-        before = part.replace(f"{name} AS (", f"derived_{name} AS (")
-        rows = f"{name} AS (SELECT * FROM derived_{name} WHERE substr(md5({key}), 1, 1) >= '4')"
-        sql = sql.replace(part, f"{before}, {rows}")
-    return sql
+def _mart_counts(batch: int) -> dict[str, str]:
+    return {name: f"(SELECT count(*) FROM ({_after(sql, batch)}))" for name, sql in _MART_ROWS.items()}
 
 
-def _mart_counts(batch: int, wrap) -> str:
-    nulls = ", ".join("CAST(NULL AS BIGINT)" for _ in range(3))
-    return " UNION ALL ".join(
-        f"SELECT {batch}, '{name}', {nulls}, (SELECT count(*) FROM ({wrap(sql)}))" for name, sql in _MART_ROWS.items()
-    )
+def _loads() -> str:
+    made = []
+    for n in (1, 2, 3):
+        lost = "count(*) FILTER (WHERE h = 'c')" if n == 2 else "CAST(0 AS BIGINT)"
+        held = f"count(*) FILTER (WHERE {_IN[n]})"
+        made.append(
+            f"SELECT {n} AS batch, \"table\", {held} + {lost} AS source, {held} AS accepted, {lost} AS rejected, "
+            f'count(*) FILTER (WHERE {_THERE[n]}) AS rows FROM digits GROUP BY "table"'
+        )
+        made += [f"SELECT {n}, '{name}', NULL, NULL, NULL, {rows}" for name, rows in _mart_counts(n).items()]
+    made.append("SELECT 4, 'event_logs', 0, 0, 0, count(*) FROM events")
+    made.append("SELECT 5, 'user_recommendations', NULL, NULL, NULL, count(*) FROM user_recommendations")
+    return " UNION ALL ".join(made)
+
+
+_COUNTS = f"""{_KEYS}
+SELECT CAST(batch AS INTEGER) AS batch, "table", CAST(source AS BIGINT) AS source, CAST(accepted AS BIGINT) AS accepted,
+       CAST(rejected AS BIGINT) AS rejected, rows FROM ({_loads()})"""
+
+
+def _snapshots() -> str:
+    made = []
+    for run, batch in ((2, 2), (3, 3), (4, 3)):
+        made.append(f'SELECT {run} AS run, "table", count(*) FILTER (WHERE {_THERE[batch]}) AS rows FROM digits GROUP BY "table"')
+        made += [f"SELECT {run}, '{name}', {rows}" for name, rows in _mart_counts(batch).items()]
+    return " UNION ALL ".join(made)
+
 
+_SNAPSHOT = f"""{_KEYS}
+SELECT CAST(run AS INTEGER) AS run, "table", rows FROM ({_snapshots()})"""
 
-_COUNTS = f"""{_KEYS},
-loads AS (
-  SELECT 1 AS batch, "table", count(*) FILTER (WHERE h >= '4') AS source, count(*) FILTER (WHERE h >= '4') AS accepted,
-         CAST(0 AS BIGINT) AS rejected, count(*) FILTER (WHERE h >= '4') AS rows FROM digits GROUP BY "table"
-  UNION ALL
-  SELECT 2, "table", count(*) FILTER (WHERE h < '8' OR h = 'c'), count(*) FILTER (WHERE h < '8'),
-         count(*) FILTER (WHERE h = 'c'), count(*) FROM digits GROUP BY "table"
-  UNION ALL SELECT 3, 'event_logs', 0, 0, 0, count(*) FROM events
-  UNION ALL SELECT 4, 'user_recommendations', NULL, NULL, NULL, count(*) FROM user_recommendations
+_ORDER = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(DISTINCT date) AS dates, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS overlaps "
+    f"FROM ({_after(sql)})"
+    for name, sql in _MART_ROWS.items()
 )
-SELECT CAST(batch AS INTEGER) AS batch, "table", source, accepted, rejected, rows FROM (
-  SELECT * FROM loads UNION ALL {_mart_counts(1, _first_only)} UNION ALL {_mart_counts(2, _after)})"""
 
 ORACLE = {
     "stored_user_sessions": _raw(
@@ -126,9 +153,12 @@ ORACLE = {
     ),
     "stored_moderation_queue": _raw("moderation_queue", oracle._REVIEW_COLUMNS, oracle._REVIEWS),
     **{
-        f"stored_{name}": f"SELECT *, {_SECOND} AS updated_at FROM ({_after(sql)})"
+        f"stored_{name}": f"SELECT *, {_DAYS[3]} AS updated_at FROM ({_after(sql)})"
         for name, sql in _MART_ROWS.items()
     },
+    **{f"updated_{name}": _after(sql) for name, sql in _MART_ROWS.items()},
     "stored_quarantine": _QUARANTINE,
+    "stored_snapshot": _SNAPSHOT,
+    "stored_order": _ORDER,
     "load_counts": _COUNTS,
 }
