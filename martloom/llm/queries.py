@@ -5,6 +5,7 @@ from __future__ import annotations
 from martloom.llm import (
     decontamination,
     jaccard_join,
+    license_scan,
     merkle_manifest,
     packing,
     pii,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op12_license_scan": license_scan.op12_license_scan,
     "op13_spelling_variants": spelling_variants.op13_spelling_variants,
 }
 

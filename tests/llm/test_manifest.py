@@ -1,0 +1,116 @@
+"""Merkle manifest against a direct recursion, and its sweeps block by block."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import zlib
+
+import pytest
+from oracle_compare import compare
+
+from martloom.llm import merkle_manifest as manifests
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    def part(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    return h("".join(part(v) for v in row))
+
+
+def combine(digests):
+    """Root, and per node its siblings as (left, right) level by level."""
+    level, of = list(digests), list(range(len(digests)))
+    paths = [[] for _ in digests]
+    while len(level) > 1:
+        for i, node in enumerate(of):
+            run = node // 3 * 3
+            paths[i].append(("".join(level[run:node]), "".join(level[node + 1 : run + 3])))
+        level = [h("".join(level[i : i + 3])) for i in range(0, len(level), 3)]
+        of = [node // 3 for node in of]
+    return level[0], paths
+
+
+def brute(rows):
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for s in sources:
+        mine = sorted((r for r in rows if r[1] == s), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees.append((mine, *combine([leaf(r) for r in mine])))
+    root, upper = combine([sub for _, sub, _ in trees]) if trees else (None, [])
+    out = []
+    for (mine, sub, paths), above in zip(trees, upper):
+        for row, path in zip(mine, paths):
+            tampered = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[4] is not None:
+                tampered = (*row[:4], row[4].replace("\n", ""))
+            acc = leaf(tampered)
+            for left, right in path + above:
+                acc = h(left + acc + right)
+            proof = h("".join(left + right for left, right in path + above))
+            out.append((row[0], leaf(row), sub, root, proof, acc, acc == root))
+    return out
+
+
+def agree(spark, rows, schema=SCHEMA):
+    got = [tuple(r) for r in manifests.manifest(spark.createDataFrame(rows, schema)).collect()]
+    assert sorted(got, key=str) == sorted(brute([r[:5] for r in rows]), key=str)
+    return got
+
+
+def rows_of(n, sources):
+    return [(i, sources[i % len(sources)], "en", i, f"line {i}\nnext" if i % 2 else f"line {i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10, 28, 100])
+def test_sizes(spark, n):
+    agree(spark, rows_of(n, ["a"]))
+
+
+def test_many_blocks(spark, monkeypatch):
+    """Blocks of 9 leaves, so that every sweep takes several rounds, with a hot source."""
+    monkeypatch.setattr(manifests, "HEIGHT", 2)
+    monkeypatch.setattr(manifests, "BLOCK", 9)
+    rows = rows_of(700, ["a"] * 20 + [f"s{i}" for i in range(31)] + [None, "é", ""])
+    got = agree(spark, rows)
+    assert not all(r[-1] for r in got) and any(r[-1] for r in got)
+
+
+def test_odd_rows(spark):
+    long = "word \n" * 200_000
+    rows = [
+        (1, None, None, None, None), (1, None, None, None, None), (1, "a", "en", 3, "x\ny"), (1, "a", "en", 3, "x\nz"),
+        (None, "a", "en", 3, "x\ny"), (None, None, None, 0, ""), (2, "a", None, None, long), (3, "B", "", 0, "\n\n"),
+    ]
+    agree(spark, rows)
+
+
+def test_clashing_columns(spark):
+    rows = [(*r, "x", 5, 1.5) for r in rows_of(12, ["a", "b"])]
+    agree(spark, rows, SCHEMA + ", tree string, pos long, digest double")
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 27, 40, 81])
+def test_backward_is_the_proof(size):
+    digests = [h(str(i)) for i in range(size)]
+    root, paths = combine(digests)
+    levels = manifests.height_of(size)
+    found = dict(manifests.backward(digests, levels, ""))
+    assert len(found) == size
+    for i, d in enumerate(digests):
+        assert manifests.fold(d, found[i]) == root
+        assert found[i] == "".join(f"{left},{right};" for left, right in paths[i])
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
+def test_equals_sql(spark):
+    name = "op11_merkle_manifest"
+    assert compare(spark, manifests.op11_merkle_manifest, manifests.ORACLE[name], SF_DIR) == []
