@@ -93,12 +93,12 @@ def _write_batches(rows: dict[RawTable, DataFrame], root: str) -> None:
             documents.write.mode("overwrite").text(f"{root}/{name}/{table.collection}.jsonl")
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the checkpoint folder, else the catalog's."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
-def _state_of(sf_dir: str) -> tuple:
+def state_of(sf_dir: str) -> tuple:
     """Tells apart contents of the source tables, where that is a local folder."""
     if not os.path.isdir(sf_dir):
         return ()
@@ -113,10 +113,10 @@ def _drop(spark: SparkSession, warehouse: Warehouse, root: str) -> None:
 
 def _loaded(spark: SparkSession, sf_dir: str, marts: str = "rebuild") -> tuple[Warehouse, list[tuple]]:
     """The warehouse after all loads, and what they reported. Gone when the process ends."""
-    key = (spark.sparkContext.applicationId, sf_dir, _state_of(sf_dir), marts)
+    key = (spark.sparkContext.applicationId, sf_dir, state_of(sf_dir), marts)
     if key in _RUNS:
         return _RUNS[key]
-    root = f"{_shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     _write_batches(_rows(spark, sf_dir), f"{root}/landing")
     warehouse = Warehouse(spark, f"{root}/warehouse", keep=3, compact_share=SHARE)
     atexit.register(_drop, spark, warehouse, root)
@@ -127,7 +127,9 @@ def _loaded(spark: SparkSession, sf_dir: str, marts: str = "rebuild") -> tuple[W
     reports = []
     for batch, (name, as_of) in enumerate((("first", FIRST), ("second", SECOND), ("third", THIRD)), 1):
         documents = read_collections(spark, f"{root}/landing/{name}")
-        reports += told(batch, refresh(spark, documents, warehouse, as_of, marts=marts))
+        reports += told(batch, refresh(spark, documents, warehouse, as_of, marts="update" if marts == "update" else "rebuild"))
+    if marts == "again":  # P3: the last batch twice
+        refresh(spark, documents, warehouse, FOURTH)
     if marts == "rebuild":
         nothing = documents_from(spark.createDataFrame([], "n int, text string"), "text", ["n"])
         reports += told(4, [load_raw(warehouse, EVENT_LOGS, nothing, FOURTH)])
@@ -148,7 +150,7 @@ def _loaded(spark: SparkSession, sf_dir: str, marts: str = "rebuild") -> tuple[W
 
 def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table after one refresh from the derived rows; its files are gone afterwards."""
-    root = f"{_shared_folder(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
     warehouse = Warehouse(spark, root, keep=1)
     sources = {
         t.collection: sample.as_documents(df, t, keep_nulls=t is not SUPPORT_TICKETS)
@@ -176,6 +178,23 @@ def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir)[0].quarantine()
 
 
+def stored_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table after the last batch was loaded twice, and how many of them the second
+    time changed, stamps aside."""
+    warehouse = _loaded(spark, sf_dir, "again")[0]
+    once, twice = (warehouse.snapshot(run) for run in (3, 4))
+    counts = []
+    for table in (*RAW_TABLES.values(), *MARTS.values()):
+        stamp = "loaded_at" if isinstance(table, RawTable) else "updated_at"
+        before, after = (_flat(tables.read(table).drop(stamp)) for tables in (once, twice))
+        sides = before.withColumn("side", F.lit(-1)).unionByName(after.withColumn("side", F.lit(1)))
+        same = sides.groupBy(*before.columns).agg(F.sum("side").alias("more"), F.count_if(F.col("side") == 1).alias("n"))
+        counts.append(
+            same.agg(F.lit(table.name).alias("table"), F.sum("n").alias("rows"), F.sum(F.abs("more")).alias("changed"))
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _updated(mart: MartTable, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart as updates from changed rows leave it."""
     return _flat(_loaded(spark, sf_dir, "update")[0].read(mart)).drop("updated_at")
@@ -227,5 +246,6 @@ QUERIES = {
     "stored_quarantine": stored_quarantine,
     "stored_snapshot": stored_snapshot,
     "stored_order": stored_order,
+    "stored_again": stored_again,
     "load_counts": load_counts,
 }

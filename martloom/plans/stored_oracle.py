@@ -133,6 +133,11 @@ _ORDER = " UNION ALL ".join(
     for name, sql in _MART_ROWS.items()
 )
 
+_AGAIN = f"""{_KEYS}
+SELECT "table", CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS changed FROM (
+  SELECT "table", count(*) AS rows FROM digits GROUP BY "table" UNION ALL
+  {" UNION ALL ".join(f"SELECT '{name}', {rows}" for name, rows in _mart_counts(3).items())})"""
+
 ORACLE = {
     "stored_user_sessions": _raw(
         "user_sessions",
@@ -160,5 +165,6 @@ ORACLE = {
     "stored_quarantine": _QUARANTINE,
     "stored_snapshot": _SNAPSHOT,
     "stored_order": _ORDER,
+    "stored_again": _AGAIN,
     "load_counts": _COUNTS,
 }

@@ -113,9 +113,13 @@ class Run(Snapshot):
 
     def commit(self) -> None:
         """Publish all that was put, at once, and sweep what no kept run refers to."""
-        if not self._end("published"):
+        house = self.warehouse
+        if not self._end("published") or house.last_run() > self.run:
+            # A later run may have swept the outcome that gave this one up.
+            if house.last_run() > self.run:
+                house.forget(self.run)
             raise RunRefused(f"run {self.run} was given up after its lease ended; nothing was published")
-        self.warehouse.sweep(self.run)
+        house.sweep(self.run)
 
     def _end(self, ended: str, **more: object) -> bool:
         self._ended = True
@@ -255,7 +259,7 @@ class Warehouse:
         ``resume`` takes over the tables that a failed last run had loaded in full, so that
         only the others are loaded again.
         """
-        last = max((int(n.split(".")[0]) for n in self.files.names(self._runs()) if n.endswith(".lease")), default=0)
+        last = self.last_run()
         if last and not self.files.exists(self._outcome(last)):
             if time.time() - self.files.modified(self._lease(last)) < self.lease_seconds:
                 raise RunRefused(f"run {last} holds the warehouse {self.root}")
@@ -270,6 +274,14 @@ class Warehouse:
                 taken = {n: v for n, v in self._versions(outcome).items() if n in RAW_TABLES and v != start.versions.get(n)}
         return Run(start, number, taken)
 
+    def last_run(self) -> int:
+        """The latest run that was begun, 0 before the first."""
+        return max((int(n.split(".")[0]) for n in self.files.names(self._runs()) if n.endswith(".lease")), default=0)
+
+    def forget(self, run: int) -> None:
+        """Take back the outcome of a run that a later one has replaced."""
+        self.files.delete(self._outcome(run))
+
     def runs(self) -> list[int]:
         """Published runs, oldest first."""
         return [n for n, outcome in self._outcomes() if outcome["ended"] == "published"]
@@ -341,9 +353,8 @@ class Warehouse:
         """Rows of one version, published or staged."""
         table, spark = version.table, spark or self.spark
         if isinstance(table, StateTable):
-            # Partitioned folders of several parts have to be read apart.
-            parts = [spark.read.schema(table.schema).parquet(self.path(table, p.number)) for p in version.parts]
-            return summed(reduce(DataFrame.unionByName, parts), table)
+            rows = spark.read.schema(table.schema).parquet(*[self.path(table, p.number) for p in version.parts])
+            return summed(rows, table)
         if isinstance(table, MartTable):
             return self._read_mart(version, spark)
         base = self._bucketed(Version(table, version.buckets, version.parts[:1]), spark).drop(PART)
@@ -423,8 +434,12 @@ class Warehouse:
         (writer.partitionBy("date") if mart.by_date else writer).parquet(self.path(mart, number))
 
     def write_state(self, rows: DataFrame, state: StateTable, number: int) -> None:
-        writer = rows.select(*state.schema.names).hint("rebalance", F.col("date")).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").partitionBy("date").parquet(self.path(state, number))
+        """Sums in ranges of their keys, the date first: reading a few dates skips the other row groups.
+
+        No folder per date, as there may be many dates with few rows in a change.
+        """
+        ranged = rows.select(*state.schema.names).repartitionByRange(*state.keys).sortWithinPartitions(*state.keys)
+        ranged.write.mode("overwrite").parquet(self.path(state, number))
 
     def keep_rejected(self, rows: DataFrame, collection: str, run: str) -> None:
         """Keep the rejected documents of one collection and run; the same run again replaces them.

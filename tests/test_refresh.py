@@ -206,14 +206,17 @@ def test_all_documents_rejected(spark, tmp_path):
     assert report.rows == 0 and report.rejected == 2
 
 
-def test_old_versions_are_dropped(spark, loaded, tmp_path):
+def test_old_runs_are_dropped(spark, loaded, tmp_path):
     _, _, source = loaded
     warehouse = Warehouse(spark, str(tmp_path), keep=2)
     docs = read_collections(spark, source)["UserSessions"]
     for day in range(1, 5):
         load_raw(warehouse, USER_SESSIONS, docs, dt.datetime(2024, 3, day))
-    assert [v.number for v in warehouse.versions(USER_SESSIONS)] == [3, 4]
-    assert warehouse.read(USER_SESSIONS).count() == 2
+    assert warehouse.runs() == [3, 4]
+    used = {p.number for run in (3, 4) for p in warehouse.snapshot(run).versions["user_sessions"].parts}
+    folders = {int(n[1:]) for n in warehouse.files.names(f"{tmp_path}/raw/user_sessions")}
+    assert folders == used and warehouse.read(USER_SESSIONS).count() == 2
+    assert not warehouse.files.names(f"{tmp_path}/parsed")
 
 
 def one_session(spark, n=40):
@@ -224,57 +227,63 @@ def one_session(spark, n=40):
 
 
 def test_buckets_grow_with_the_table(spark, tmp_path):
+    """With a batch that needs more than there are, and with a compaction."""
     warehouse = Warehouse(spark, str(tmp_path), buckets=2, bucket_bytes=4096)
-    for day, size in ((1, 0), (2, 6000), (3, 1 << 40)):
-        warehouse.most_buckets = 100  # the platform's ceiling
-        load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, day), size)
-    second, third = (v.buckets for v in warehouse.versions(USER_SESSIONS))
-    assert second in (4, 8) and third == 64 and warehouse.read(USER_SESSIONS).count() == 40
-    load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 4), 1 << 50)
-    assert warehouse.versions(USER_SESSIONS)[-1].buckets == 64
 
-
-def plan_of_load(monkeypatch, warehouse, documents, as_of, size=None):
-    """The plan that wrote the table."""
+    def buckets():
+        return warehouse.snapshot().versions["user_sessions"].buckets
+
+    load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 1), 0)
+    assert buckets() == 2
+    load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 2), 12_000)
+    assert buckets() == 4 and warehouse.read(USER_SESSIONS).count() == 40
+    warehouse.most_buckets = 100  # the platform's ceiling
+    load_raw(warehouse, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 3), 1 << 50)
+    assert buckets() == 64 and warehouse.read(USER_SESSIONS).count() == 40
+    small = Warehouse(spark, str(tmp_path / "b"), buckets=1, bucket_bytes=1, compact_share=0)
+    small.most_buckets = 8
+    load_raw(small, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 1), 0)
+    load_raw(small, USER_SESSIONS, one_session(spark), dt.datetime(2024, 3, 2), 0)
+    version = small.snapshot().versions["user_sessions"]
+    assert version.buckets == 8 and len(version.parts) == 1
+    assert small.read(USER_SESSIONS).count() == 40
+
+
+def plans_of_writes(monkeypatch, warehouse, load):
+    """The plans that wrote raw parts, without broadcasts."""
     plans = []
-    stage = Warehouse.stage
+    write = Warehouse.write_raw
 
-    def told(self, rows, table):
+    def told(self, rows, *args):
+        rows.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         plans.append(rows._jdf.queryExecution().executedPlan().toString())
-        return stage(self, rows, table)
-
-    monkeypatch.setattr(Warehouse, "stage", told)
-    threshold = warehouse.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    lined_up = Warehouse.lined_up
+        return write(self, rows, *args)
 
-    def unbroadcast(self, table, incoming):
-        own = lined_up(self, table, incoming)
-        own.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        return own
-
-    monkeypatch.setattr(Warehouse, "lined_up", unbroadcast)
-    load_raw(warehouse, USER_SESSIONS, documents, as_of, size)
+    monkeypatch.setattr(Warehouse, "write_raw", told)
+    load()
     monkeypatch.undo()
-    assert warehouse.spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == threshold
-    return plans[-1]
+    return plans
 
 
 @pytest.mark.parametrize("partitions", ["2", "8", "32"])
-def test_a_load_shuffles_the_batch_once_and_no_stored_row(spark, monkeypatch, tmp_path, partitions):
+def test_a_load_shuffles_the_batch_once_and_reads_no_stored_row(spark, monkeypatch, tmp_path, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    warehouse = Warehouse(spark, str(tmp_path), buckets=8, bucket_bytes=1 << 20)
+    warehouse = Warehouse(spark, str(tmp_path), buckets=8, bucket_bytes=1 << 20, compact_share=1.5)
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         load_raw(warehouse, USER_SESSIONS, one_session(spark), FIRST)
-        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND)
-        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
-        # Growth, and the load after it.
-        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND, 12 << 20)
-        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
-        plan = plan_of_load(monkeypatch, warehouse, one_session(spark), SECOND)
-        assert plan.count("Exchange ") == 1 and "SelectedBucketsCount: 16 out of 16" in plan
+        load = lambda: load_raw(warehouse, USER_SESSIONS, one_session(spark), SECOND)
+        (appended,) = plans_of_writes(monkeypatch, warehouse, load)
+        assert appended.count("Exchange ") == 1 and "Bucketed" not in appended
+        # Read: buckets of base and changes come together as they lie.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = warehouse.read(USER_SESSIONS)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SelectedBucketsCount: 8 out of 8") == 2
+        appended, compacted = plans_of_writes(monkeypatch, warehouse, load)
+        assert "Exchange" not in compacted and compacted.count("SelectedBucketsCount: 8 out of 8") == 2
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert warehouse.read(USER_SESSIONS).count() == 40
 
 
@@ -294,9 +303,7 @@ def test_the_source_is_read_once(spark, tmp_path):
     report = load_raw(warehouse, USER_SESSIONS, documents_from(source, "document", ["id"]), FIRST)
     assert (report.source, report.accepted, report.rejected, report.rows) == (41, 40, 1, 40)
     assert given.value == 41
-    assert not (tmp_path / "w" / "parsed" / "user_sessions").exists() or not any(
-        (tmp_path / "w" / "parsed" / "user_sessions").iterdir()
-    )
+    assert not any((tmp_path / "w" / "parsed").rglob("*.parquet"))
 
 
 def test_quarantine_of_loads_side_by_side(spark, tmp_path):
