@@ -29,11 +29,15 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 CLOSED = r"[.!?:;,…。！？»”\"')\]][\x20\x09-\x0D]*$"
 NOT_LETTERS = r"[#*$%&|<>=~^_{}\\+@/-]"
 SEPARATORS = r"[|>»·•].*[|>»·•].*[|>»·•]"
-NAVIGATION = (
-    r"^[\x20\x09-\x0D]*((home|menu|login|log in|logout|sign in|sign up|register|search|next|previous|back|top|"
-    r"contact|contact us|about|about us|help|faq|sitemap|share|tweet|print|archive|skip to content)"
-    r"[\x20\x09-\x0D|>»·•/,-]*)+$"
+NAVIGATION_PHRASES = (
+    "home|menu|login|log in|logout|sign in|sign up|register|search|next|previous|back|top|"
+    "contact us|contact|about us|about|help|faq|sitemap|share|tweet|print|archive|skip to content"
 )
+NAVIGATION_GAP = r"[\x20\x09-\x0D|>»·•/,-]*"
+NAVIGATION = rf"^[\x20\x09-\x0D]*(({NAVIGATION_PHRASES}){NAVIGATION_GAP})+$"
+# The same without a way back, which Java matches in a loop: its plain repeated groups recurse, and
+# a long line would end the executor. No phrase follows from another by a shorter choice before it.
+NAVIGATION_LOOP = rf"^[\x20\x09-\x0D]*+(?:(?:{NAVIGATION_PHRASES}){NAVIGATION_GAP}+)++$"
 BOILERPLATE = (
     r"(all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use of cookies|lorem ipsum|"
     r"enable javascript|click here|read more|subscribe to our|powered by|copyright ©|copyright \(c\))"
@@ -93,7 +97,7 @@ def _line_fails(line: Column) -> Column:
         signs = F.length(line) - F.length(F.regexp_replace(line, NOT_LETTERS, ""))
         solid = F.length(F.regexp_replace(line, WHITE, ""))
         punctuation = ((n <= SHORT_LINE) & ~line.rlike(CLOSED)) | (2 * signs > solid)
-        navigation = ((n <= NAV_WORDS) & line.rlike(SEPARATORS)) | line.rlike(NAVIGATION)
+        navigation = ((n <= NAV_WORDS) & line.rlike(SEPARATORS)) | line.rlike(NAVIGATION_LOOP)
         boilerplate = (n <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
         return punctuation | navigation | boilerplate
 

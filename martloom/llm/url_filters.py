@@ -137,19 +137,25 @@ def judge(
     # Written first, so that the filter does not compute the spellings once more.
     edges = scratch.save(edges, "declared").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     groups = components(edges.distinct(), scratch)
-    # The rule of a redirect's end counts even where no page of the table has that url.
-    end = groups.withColumn("own", rule_of(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"])
-    decided = end.groupBy("component").agg(
-        F.max(F.col("own") == "allow").alias("allows"), F.max(F.col("own") == "block").alias("blocks")
-    )
-    inherited = F.when(F.col("allows"), "allow").when(F.col("blocks"), "block")
-    decided = decided.select("component", inherited.alias("inherited"))
-    groups = scratch.save(groups.join(decided, "component").select("node", "component", "inherited"), "groups")
-
     url = F.col("url")
     named = pages.select("page_id", canonical(url).alias("node"), host_of(url).alias("host"), path_of(url).alias("path"))
     named = named.withColumn("own", rule_of(F.coalesce("host", F.lit("")), F.coalesce("path", F.lit("")), rules))
-    # A url without an edge is its own component, whose only other spellings fit the same rules.
+    # Rules count as the urls are spelt, on any page, and as the canonical spelling is, also that
+    # of a redirect's end which is no page.
+    of_node = rule_of(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
+    spelt = named.where("node IS NOT NULL").select("node", F.explode(F.array("own.verdict", of_node)).alias("verdict"))
+    ends = groups.select("node", of_node.alias("verdict"))
+    given = spelt.unionByName(ends).where("verdict IS NOT NULL").distinct().join(groups, "node", "left")
+    decided = given.groupBy(F.coalesce("component", "node").alias("component")).agg(
+        F.max(F.col("verdict") == "allow").alias("allows"), F.max(F.col("verdict") == "block").alias("blocks")
+    )
+    inherited = F.when(F.col("allows"), "allow").when(F.col("blocks"), "block")
+    decided = scratch.save(decided.select("component", inherited.alias("inherited")), "decided")
+    # A url without an edge is a component of its own.
+    alone = decided.join(groups.select(F.col("node").alias("component")), "component", "left_anti")
+    alone = alone.select(F.col("component").alias("node"), "component", "inherited")
+    groups = groups.join(decided, "component", "left").select("node", "component", "inherited")
+    groups = scratch.save(groups.unionByName(alone), "groups")
     joined = named.join(groups, "node", "left")
     return joined.select(
         "page_id",

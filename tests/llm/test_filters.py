@@ -35,6 +35,39 @@ def test_blocks_reach_aliases_and_allows_go_first(spark):
     assert judged(spark, [r for r in rows if False]) == {}
 
 
+def test_blocks_reach_other_spellings(spark):
+    """Without any edge: a port or an empty path names the same resource, but not the same rule."""
+    rows = [
+        (1, "https://example.org/es/x", None), (2, "https://example.org:443/es/x", None), (3, "http://b.com:80/de/1", None),
+        (4, "http://b.com/de/1", None), (5, "https://a.net", None), (6, "https://a.net/", None), (7, "https://x.org:443/y", None),
+        (8, "https://example.org:443/es/other", None),
+    ]
+    got = judged(spark, rows)
+    assert [got[n][1] for n in range(1, 9)] == ["block", "block", "block", "block", "allow", "allow", "allow", "block"]
+    assert got[2][0] is None
+
+
+def test_many_aliases_chains_and_cycles(spark):
+    """A hub of aliases, a long chain, a cycle; one blocked url decides for all of them."""
+    seen = [(f"https://hub{n}.net/", "https://b.com/de/hub") for n in range(5_000)]
+    seen += [(f"https://chain.net/{n}", f"https://chain.net/{n + 1}") for n in range(300)] + [("https://chain.net/300", "https://b.com/de/end")]
+    seen += [(f"https://ring.net/{n}", f"https://ring.net/{(n + 1) % 50}") for n in range(50)]
+    rows = [(n, url, None) for n, (url, _) in enumerate(seen)]
+    redirects = spark.createDataFrame(seen, "source string, target string")
+    got = judged(spark, rows, redirects=redirects)
+    assert all(got[n][1] == "block" for n in range(5_301)) and all(got[n][1] == "allow" for n in range(5_301, 5_351))
+
+
+def test_odd_pages(spark):
+    long = "https://b.com/de/" + "x" * 200_000
+    rows = [(1, long, "", 5, "c"), (1, long, "", 5, "c"), (2, "https://Example.ORG/en/1?a=b#c", None, None, None), (3, "", "", 1, "d")]
+    df = spark.createDataFrame(rows, PAGES + ", node long, component string")
+    out = url_filters.judge(df).collect()
+    assert sorted((r.page_id, r.rule, r.verdict) for r in out if r.rule) == [
+        (1, "com/de/", "block"), (1, "com/de/", "block"), (2, "example.org/en/1", "block"),
+    ] and len(out) == 4
+
+
 def test_quality_of_odd_texts(spark):
     sentence = "A plain sentence that has more than ten words in it, and ends."
     texts = [None, "", " \n ", sentence, f"{sentence}\nHome | About | Help | Login", "spam " * 60, "a b c.\n" * 20]
@@ -44,6 +77,29 @@ def test_quality_of_odd_texts(spark):
     assert got[4].cleaned == sentence and got[5].n_repeat_words == 60 and got[6].n_dup_lines == 19
 
 
+def test_quality_of_very_long_lines(spark):
+    """A line of 10^5 words, navigation or not; Java recurses in repeated groups."""
+    many = 100_000
+    texts = ["home " * many, "home " * many + "x", "contact us | " * many, "| " * many, "x" * 1_000_000, "about " * many + "us"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_lost_words) for r in quality_rules.measure(docs).collect()}
+    assert got == {
+        0: (many, many), 1: (many + 1, 0), 2: (3 * many, 3 * many), 3: (many, many), 4: (1, 1), 5: (many + 1, many + 1),
+    }
+    empty = quality_rules.measure(docs.limit(0)).count()
+    again = quality_rules.measure(docs.where("doc_id = 4").union(docs.where("doc_id = 4"))).collect()
+    assert empty == 0 and len(again) == 2 and again[0] == again[1]
+
+
+def test_navigation_without_a_way_back_is_the_same(spark):
+    rng = random.Random(2)
+    parts = [*quality_rules.NAVIGATION_PHRASES.split("|"), "us", "x", " ", " | ", "/", "-", ">", "log", "in"]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(20_000)]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    both = df.selectExpr("line", f"line RLIKE r'{quality_rules.NAVIGATION}' AS a", f"line RLIKE r'{quality_rules.NAVIGATION_LOOP}' AS b")
+    assert both.where("a <> b").count() == 0 and both.where("a").count() > 1000
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(5)
     word = lambda: rng.choice("abcdefg")
