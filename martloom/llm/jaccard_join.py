@@ -8,6 +8,9 @@ links reach.
 2. Linked sets share one of their least ``n - ceil(t n) + 1`` hashes. Hashes that only one set
    holds are dropped by a shuffle of hashes; those with the same holders are one group, and
    a group whose holders all belong to another is left to that.
+   A node's bitmap stands for its least ``COVER`` times as many hashes, its sketch. What two
+   sets share lies in both sketches, or above the one that ends first and so in its rest: bits
+   and rest together bound the overlap.
 3. Each node joins the group of its least shared hash. There a signature tree, whose nodes
    hold the OR of their sets' bitmaps and the range of their sizes, is traversed against
    itself: a pair of tree nodes is left as soon as bitmaps or sizes rule out the overlap that
@@ -22,7 +25,7 @@ so memory is bounded and no pair is lost. Links and components stay in Spark.
 
 Defined cases: a null or empty text has an empty set and links with nothing; a text of fewer
 words than a shingle is one shingle; equal rows link; a null doc_id keeps a null component and
-gives no links; rows of one doc_id are one node; other columns are not read. Distinct shingles
+gives no links; a doc_id with several texts links by each of them; other columns are not read. Distinct shingles
 are told apart by their 64-bit hashes, sets by 128 bits.
 """
 
@@ -44,7 +47,8 @@ from martloom.llm.components import components
 from martloom.llm.segments import FIRST, LATER, SINGLE, keyed
 
 FANOUT = 8
-LEAST_BITS, MOST_BITS = 512, 65_536
+COVER = 2  # prefixes that a sketch is long
+LEAST_BITS, MOST_BITS = 64, 65_536
 BITS_A_SHINGLE = 8  # at least; few shingles share a bit, so bounds on the overlap are close to it
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
 QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
@@ -69,6 +73,10 @@ class Similarity:
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
 
+    def sketched(self, n: int) -> int:
+        """How many of a set's least hashes its bitmap stands for."""
+        return min(n, COVER * self.prefix(n))
+
     def needed(self, a: int, b: int) -> int:
         """Least overlap of linked sets of ``a`` and ``b`` shingles."""
         return -(-self.num * (a + b) // (self.num + self.den))
@@ -103,17 +111,30 @@ def folded(bits: int, width: int, to: int) -> int:
 
 
 class Node:
-    """OR of bitmaps, range of sizes, and the most shingles of one set that share a bit."""
+    """OR of bitmaps, ranges of sizes and of sketches' ends, and what bounds an overlap.
+
+    ``held`` is the most hashes of one sketch, ``excess`` the most of one that share a bit, and
+    ``rest`` the most hashes of one set that are not in its sketch.
+    """
 
-    __slots__ = ("bits", "width", "least", "most", "excess", "children", "leaf")
+    __slots__ = ("bits", "width", "least", "most", "held", "excess", "rest", "first_end", "last_end", "children", "leaf")
 
-    def __init__(self, bits, width, least, most, excess, children, leaf):
+    def __init__(self, bits, width, least, most, held, excess, rest, first_end, last_end, children, leaf):
         self.bits, self.width, self.least, self.most = bits, width, least, most
-        self.excess, self.children, self.leaf = excess, children, leaf
+        self.held, self.excess, self.rest = held, excess, rest
+        self.first_end, self.last_end = first_end, last_end
+        self.children, self.leaf = children, leaf
 
 
-def leaf(bits: int, n: int, index: int) -> Node:
-    return Node(bits, width_of(n), n, n, n - bits.bit_count(), (), index)
+def leaf(bits: int, n: int, end: int, like: Similarity, index: int) -> Node:
+    held = like.sketched(n)
+    return Node(bits, width_of(held), n, n, held, held - bits.bit_count(), n - held, end, end, (), index)
+
+
+def sketch(shingles: np.ndarray, like: Similarity) -> tuple[int, int]:
+    """(bitmap, end) of a set: the end is its last hash, halved to fit a signed long."""
+    head = shingles[: like.sketched(len(shingles))]
+    return bitmap(head, width_of(len(head))), int(head[-1]) >> 1
 
 
 def parent(children: list[Node]) -> Node:
@@ -125,10 +146,22 @@ def parent(children: list[Node]) -> Node:
     excess = max(
         c.excess if c.width == width else c.excess + c.bits.bit_count() - folded(c.bits, c.width, width).bit_count()
         if c.leaf is not None
-        else c.most
+        else c.held
         for c in children
     )
-    return Node(bits, width, min(c.least for c in children), max(c.most for c in children), excess, children, None)
+    return Node(
+        bits,
+        width,
+        min(c.least for c in children),
+        max(c.most for c in children),
+        max(c.held for c in children),
+        excess,
+        max(c.rest for c in children),
+        min(c.first_end for c in children),
+        max(c.last_end for c in children),
+        children,
+        None,
+    )
 
 
 def tree(leaves: list[Node]) -> Node:
@@ -144,15 +177,22 @@ def may_link(a: Node, b: Node, like: Similarity) -> bool:
     if not like.sizes_fit(a.least, a.most, b.least, b.most):
         return False
     need = like.needed(a.least, b.least)
+    # Ends are halved, so only a clear order tells which sketch ends first.
+    if a.last_end < b.first_end:
+        rest = a.rest
+    elif b.last_end < a.first_end:
+        rest = b.rest
+    else:
+        rest = max(a.rest, b.rest)
     if a.width == b.width:
         shared, spare_a, spare_b = (a.bits & b.bits).bit_count(), a.excess, b.excess
     else:
         width = min(a.width, b.width)
         small, large = (a, b) if a.width == width else (b, a)
         bits = folded(large.bits, large.width, width)
-        spare = large.most if large.leaf is None else large.most - bits.bit_count()
+        spare = large.held if large.leaf is None else large.held - bits.bit_count()
         shared, spare_a, spare_b = (small.bits & bits).bit_count(), small.excess, spare
-    return shared + min(spare_a, spare_b) >= need
+    return shared + min(spare_a, spare_b) + rest >= need
 
 
 def pairs(a: Node, b: Node, like: Similarity) -> Iterator[tuple[int, int]]:
@@ -235,8 +275,10 @@ def _marker(like: Similarity):
     return mark
 
 
-NODE_ROW = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("n", pa.int32()), ("bits", pa.binary())])
-NODE_DDL = "doc_id long, component long, n int, bits binary"
+NODE_ROW = pa.schema(
+    [("doc_id", pa.int64()), ("component", pa.int64()), ("n", pa.int32()), ("end", pa.int64()), ("bits", pa.binary())]
+)
+NODE_DDL = "doc_id long, component long, n int, `end` long, bits binary"
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[dict]]:
@@ -263,7 +305,8 @@ def _clusterer(like: Similarity, limit: int):
             for at in range(0, len(group), limit):
                 part = group[at : at + limit]
                 sets = [like.shingles(r["text"].encode()) for r in part]
-                leaves = [leaf(bitmap(s, width_of(len(s))), len(s), i) for i, s in enumerate(sets)]
+                sketches = [sketch(s, like) for s in sets]
+                leaves = [leaf(bits, len(s), end, like, i) for i, (s, (bits, end)) in enumerate(zip(sets, sketches))]
                 joined = Union(len(part))
                 if len(part) > 1:
                     root = tree(leaves)
@@ -276,7 +319,7 @@ def _clusterer(like: Similarity, limit: int):
                     least[root_of] = min(least.get(root_of, r["doc_id"]), r["doc_id"])
                 for i, r in enumerate(part):
                     bits = leaves[i].bits.to_bytes(leaves[i].width // 8, "little")
-                    out.append((r["doc_id"], least[joined.find(i)], len(sets[i]), bits))
+                    out.append((r["doc_id"], least[joined.find(i)], len(sets[i]), sketches[i][1], bits))
                 if len(out) >= 5_000:
                     yield _rows(NODE_ROW, out)
                     out = []
@@ -295,7 +338,7 @@ def _traverser(like: Similarity, quota: int):
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for group in _groups(batches, 3):
-            leaves = [leaf(int.from_bytes(r["bits"], "little"), r["n"], i) for i, r in enumerate(group)]
+            leaves = [leaf(int.from_bytes(r["bits"], "little"), r["n"], r["end"], like, i) for i, r in enumerate(group)]
             left, right = group[0]["i"], group[0]["j"]
             if left == right:
                 found = pairs(root := tree(leaves), root, like)
@@ -397,12 +440,12 @@ def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id"), blocks)
     rows = rows.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    rows = rows.select("token", "doc_id", "component", "n", "bits", "block", other)
+    rows = rows.select("token", "doc_id", "component", "n", "end", "bits", "block", other)
     return rows.select(
         "token",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
-        "doc_id", "component", "n", "bits", "block",
+        "doc_id", "component", "n", "end", "bits", "block",
     )
 
 
@@ -415,14 +458,43 @@ def _verified(found: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame
 
 def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, tag, n_shingles, component) of every distinct (doc_id, text)."""
-    scratch = Scratch(docs.sparkSession, "jaccard-join")
     named = keyed(docs).withColumn("tag", F.col("tag").cast("int"))
+    return _joined(named, like, limit, Scratch(docs.sparkSession, "jaccard-join"))
+
+
+def _apart(named: DataFrame, members: DataFrame, like: Similarity, limit: int, scratch: Scratch) -> DataFrame:
+    """The join where ids have several texts: further texts get ids of their own, above all
+    others, and what their links reach is united with what the first text's links do."""
+    first = members.groupBy("doc_id").agg(F.min("tag").alias("first"))
+    above = members.agg(F.max("doc_id").alias("top"))
+    more = members.join(first, "doc_id").where("tag > first").select("doc_id", "tag").distinct()
+    more = more.withColumn("nth", F.monotonically_increasing_id() + 1).crossJoin(above)
+    more = scratch.save(more.selectExpr("doc_id AS of_id", "tag AS of_tag", "top + nth AS own"), "more")
+    renamed = named.join(more, F.expr("doc_id = of_id AND tag = of_tag"), "left")
+    renamed = renamed.select(F.coalesce("own", "doc_id").alias("doc_id"), "tag", "text")
+    found = scratch.save(_joined(renamed, like, limit, Scratch(named.sparkSession, "jaccard-apart")), "apart")
+    label = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component").alias("component"))
+    ends = more.join(label.selectExpr("doc_id AS own", "component AS a"), "own")
+    ends = ends.join(label.selectExpr("doc_id AS of_id", "component AS b"), "of_id").select("a", "b")
+    united = components(ends, Scratch(named.sparkSession, "jaccard-united"))
+    united = united.selectExpr("node AS component", "component AS joined")
+    found = found.join(united, "component", "left").join(more, F.col("doc_id") == F.col("own"), "left")
+    return found.select(
+        F.coalesce("of_id", "doc_id").alias("doc_id"), "tag", "n_shingles", F.coalesce("joined", "component").alias("component")
+    )
+
+
+def _joined(named: DataFrame, like: Similarity, limit: int, scratch: Scratch) -> DataFrame:
     marks = scratch.save(_marks(named, like), "marks")
     every = marks.where(F.col("kind") == DOCUMENT)
     classes = every.where("n > 0 AND doc_id IS NOT NULL").groupBy("token", "sig", "n").agg(F.min("doc_id").alias("class"))
     members = scratch.save(
         every.join(classes, ["token", "sig", "n"], "left").select("doc_id", "tag", "n", "class").distinct(), "members"
     )
+    several = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"))
+    if not several.where("lo < hi").isEmpty():
+        scratch.drop("marks")
+        return _apart(named, members.where("doc_id IS NOT NULL"), like, limit, scratch)
     shared = _shared(marks.where(F.col("kind") < DOCUMENT), members, scratch)
     scratch.drop("marks")
 
@@ -447,7 +519,7 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
     while True:
         step += 1
         rows = _unfinished(shared, nodes, limit).repartition("token", "i", "j")
-        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "bits", "block")
+        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "end", "bits", "block")
         found = scratch.save(rows.mapInArrow(_traverser(like, quota), PAIR_DDL).distinct(), f"pairs-{step}")
         cut = not found.where("cut").isEmpty()
         fresh = found.where("NOT cut").select("a", "b")
@@ -458,10 +530,10 @@ def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int =
         if not links.isEmpty():
             of = nodes.select("doc_id", "component")
             ends = links.join(of.selectExpr("doc_id AS a", "component AS x"), "a").join(of.selectExpr("doc_id AS b", "component AS y"), "b")
-            merged = components(ends.selectExpr("x AS a", "y AS b"), Scratch(docs.sparkSession, "jaccard-links"))
+            merged = components(ends.selectExpr("x AS a", "y AS b"), Scratch(named.sparkSession, "jaccard-links"))
             merged = merged.selectExpr("node AS component", "component AS joined")
             nodes = nodes.join(merged, "component", "left").select(
-                "doc_id", F.coalesce("joined", "component").alias("component"), "n", "bits"
+                "doc_id", F.coalesce("joined", "component").alias("component"), "n", "end", "bits"
             )
             nodes = scratch.save(nodes, f"nodes-{step}")
         if not cut:

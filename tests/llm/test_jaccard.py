@@ -17,8 +17,8 @@ from martloom.llm.jaccard_join import (
     leaf,
     may_link,
     pairs,
+    sketch,
     tree,
-    width_of,
 )
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -90,6 +90,23 @@ def test_families(spark, like, limit):
     check(spark, families(), like, limit)
 
 
+def test_several_texts_of_one_id(spark):
+    """Each of them links; which one comes first makes no difference."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(5, a), (5, b), (1, a + " x"), (2, b + " y"), (5, b), (8, a), (9, "c d e f g"), (9, None), (9, "c d e f"), (7, "c d e f g")]
+    check(spark, sorted(set(rows), key=str), Similarity(), 2000)
+    check(spark, sorted(set(rows), key=str, reverse=True), Similarity(), 2)
+    many = families() + [(doc, text) for (doc, _), (_, text) in zip(families(3)[:30], families(4)[30:60])]
+    check(spark, [r for r in dict.fromkeys(many)], Similarity(), 3)
+
+
+def test_a_shingle_in_every_document(spark):
+    rng = random.Random(8)
+    rows = [(n, "the same four words " + " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randint(3, 60)))) for n in range(150)]
+    rows += [(200 + n, text + " z") for n, text in rows[:40]] + [(400, "long " + " ".join(f"v{i}" for i in range(60_000)))]
+    check(spark, rows, Similarity(), 20)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
 def test_sample(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
@@ -110,7 +127,8 @@ def test_trees_lose_no_link():
             keep = base[rng.random(len(base)) < 0.9]
             more = rng.integers(0, 2**63, rng.integers(0, 1 + len(base) // 4), dtype=np.uint64)
             sets.append(np.unique(np.concatenate([keep, more, base[:1]])))
-    leaves = [leaf(bitmap(s, width_of(len(s))), len(s), i) for i, s in enumerate(sets)]
+    made = [sketch(s, like) for s in sets]
+    leaves = [leaf(bits, len(s), end, like, i) for i, (s, (bits, end)) in enumerate(zip(sets, made))]
     root = tree(leaves)
     found = {tuple(sorted(p)) for p in pairs(root, root, like)}
     linked = {(i, j) for i, j in combinations(range(len(sets)), 2) if like.linked(sets[i], sets[j])}
