@@ -34,6 +34,10 @@ from martloom.sources.documents import accepted, parse, read_documents, rejected
 from martloom.sources.warehouse import Part, Run, Snapshot, Version, Warehouse
 
 
+#: Keys of a batch up to which its stored rows are looked up, not joined.
+LOOKED_UP = 64
+
+
 @dataclass(frozen=True)
 class LoadReport:
     """What one task did. Counts of documents are those of the rows the parse wrote."""
@@ -99,7 +103,7 @@ def load_raw(
         if good:
             batch = enforce(accepted(staged.where("NOT rejected"), table), table)
             latest = last_per_key(batch, table.key, ["read_order"], table.sticky, table.column_names)
-            run.append(table, latest.withColumn("loaded_at", instant(as_of)), size)
+            run.append(table, latest.withColumn("loaded_at", instant(as_of)), size, good)
         return LoadReport(table.name, run.read(table).count(), good + bad, good, bad)
     finally:
         warehouse.files.delete(path)
@@ -138,7 +142,9 @@ def changed_rows(run: Run, table: RawTable) -> tuple[DataFrame, DataFrame] | Non
         nothing = run.warehouse.spark.createDataFrame([], table.schema)
         return nothing, nothing
     newer = run.warehouse.reduced(Version(table, now.buckets, new), None, run.warehouse.spark)
-    known = run.start.read(table, newer.select(table.key))
+    keys = newer.select(table.key)
+    few = [r[0] for r in keys.limit(LOOKED_UP + 1).collect()]
+    known = run.start.read(table, keys if len(few) > LOOKED_UP else few)
     path = f"{run.warehouse.parsed_path(table, run.run)}-known"
     known.write.mode("overwrite").parquet(path)
     known = run.warehouse.spark.read.schema(table.schema).parquet(path)

@@ -23,7 +23,7 @@ from martloom.operators.product_popularity import (
 from martloom.operators.support_efficiency import support_efficiency
 from martloom.operators.upsert import upsert
 from martloom.operators.user_activity import session_durations, user_activity
-from martloom.plans import dumps, stored
+from martloom.plans import dumps, halves, stored
 from martloom.schemas import (
     EVENT_LOGS,
     MODERATION_QUEUE,
@@ -346,4 +346,5 @@ QUERIES: dict[str, Query] = {
     "refresh_report": refresh_report,
     **stored.QUERIES,
     **dumps.QUERIES,
+    **halves.QUERIES,
 }

@@ -41,6 +41,9 @@ from martloom.sources.files import Files
 Table = RawTable | MartTable | StateTable
 _TABLES: dict[str, Table] = RAW_TABLES | MARTS | STATES
 
+#: Keys to be read: a frame of the key column, a few values, or None for all.
+Keys = DataFrame | list[str] | None
+
 #: Partition columns come after those in the files.
 STORED_QUARANTINE = "key string, reason string, document string, collection string, run string"
 PART = "_part"
@@ -54,6 +57,7 @@ class RunRefused(Exception):
 class Part:
     number: int
     dates: tuple[str, ...] | None = None  # of a mart: dates that it replaces; None for all
+    keys: int = 0  # of a raw table: keys that it holds, at most
 
 
 @dataclass(frozen=True)
@@ -74,11 +78,13 @@ class Snapshot:
         self.run = run
         self.versions = versions
 
-    def read(self, table: Table, keys: DataFrame | None = None, spark: SparkSession | None = None) -> DataFrame:
+    def read(self, table: Table, keys: Keys = None, spark: SparkSession | None = None) -> DataFrame:
         """Rows in declared column order; none when the table was never written.
 
-        ``keys`` leaves the rows of a raw table whose key is in it, a frame of that column:
-        stored rows are filtered where they lie, and only what is left is merged.
+        ``keys`` leaves the rows of a raw table whose key is in it: a frame of that column, or
+        for a look-up a list. Stored rows are filtered where they lie, and only what is left is
+        merged. With a list only the buckets are opened that its keys fall into, and of
+        their row groups only those whose Bloom filters do not rule a key out.
         """
         spark = spark or self.warehouse.spark
         version = self.versions.get(table.name)
@@ -144,8 +150,8 @@ class Run(Snapshot):
             return self.warehouse.bucket_count(self.warehouse.buckets, incoming)
         return self.warehouse.bucket_count(version.buckets, incoming)
 
-    def append(self, table: RawTable, changes: DataFrame, incoming: int) -> None:
-        """Store one row per key as the table's next change set.
+    def append(self, table: RawTable, changes: DataFrame, incoming: int, keys: int) -> None:
+        """Store one row per key as the table's next change set; of at most ``keys`` keys.
 
         Only a batch that alone needs more buckets than the table has is merged at once: it is
         larger than what is stored, by the way buckets are chosen.
@@ -157,9 +163,10 @@ class Run(Snapshot):
         if version is not None and version.buckets < buckets:
             stored = self.read(table, spark=changes.sparkSession)
             changes = merge_newer(stored, changes, table.key, table.sticky)
+            keys += sum(p.keys for p in version.parts)
             version = None
-        self.warehouse.write_raw(changes, table, number, buckets)
-        part = Part(number)
+        part = Part(number, keys=keys)
+        self.warehouse.write_raw(changes, table, part, buckets)
         self.put(version.plus(part) if version else Version(table, buckets, (part,)))
 
     def compact(self, table: RawTable) -> str | None:
@@ -170,18 +177,18 @@ class Run(Snapshot):
         """
         house, version = self.warehouse, self.versions[table.name]
         sizes = [house.files.size(house.path(table, p.number)) for p in version.parts]
-        number = 2 * self.run + 1
         if sum(sizes[1:]) > house.compact_share * sizes[0]:
             buckets = house.bucket_count(version.buckets, sum(sizes))
-            spark = self._compacting(buckets)
-            house.write_raw(self.read(table, spark=spark), table, number, buckets)
-            self.put(Version(table, buckets, (Part(number),)))
+            part = Part(2 * self.run + 1, keys=sum(p.keys for p in version.parts))
+            house.write_raw(self.read(table, spark=self._compacting(buckets)), table, part, buckets)
+            self.put(Version(table, buckets, (part,)))
             return "base"
         if len(version.parts) > house.most_parts:
-            spark = self._compacting(version.buckets)
             newer = Version(table, version.buckets, version.parts[1:])
-            house.write_raw(house.reduced(newer, None, spark), table, number, version.buckets)
-            self.put(Version(table, version.buckets, (version.parts[0], Part(number))))
+            part = Part(2 * self.run + 1, keys=sum(p.keys for p in newer.parts))
+            rows = house.reduced(newer, None, self._compacting(version.buckets))
+            house.write_raw(rows, table, part, version.buckets)
+            self.put(Version(table, version.buckets, (version.parts[0], part)))
             return "changes"
         return None
 
@@ -306,14 +313,14 @@ class Warehouse:
 
     def _end(self, run: int, ended: str, versions: dict[str, Version], **more: object) -> bool:
         tables = {
-            name: {"buckets": v.buckets, "parts": [[p.number, p.dates] for p in v.parts]}
+            name: {"buckets": v.buckets, "parts": [[p.number, p.dates, p.keys] for p in v.parts]}
             for name, v in versions.items()
         }
         return self.files.publish_new(self._outcome(run), {"ended": ended, "tables": tables, **more})
 
     def _versions(self, outcome: dict) -> dict[str, Version]:
-        def part(number: int, dates: list[str] | None) -> Part:
-            return Part(number, None if dates is None else tuple(dates))
+        def part(number: int, dates: list[str] | None, keys: int) -> Part:
+            return Part(number, None if dates is None else tuple(dates), keys)
 
         return {
             name: Version(_TABLES[name], v["buckets"], tuple(part(*p) for p in v["parts"]))
@@ -349,7 +356,7 @@ class Warehouse:
 
     # --- reading ---------------------------------------------------------------
 
-    def read_version(self, version: Version, keys: DataFrame | None = None, spark: SparkSession | None = None) -> DataFrame:
+    def read_version(self, version: Version, keys: Keys = None, spark: SparkSession | None = None) -> DataFrame:
         """Rows of one version, published or staged."""
         table, spark = version.table, spark or self.spark
         if isinstance(table, StateTable):
@@ -357,19 +364,15 @@ class Warehouse:
             return summed(rows, table)
         if isinstance(table, MartTable):
             return self._read_mart(version, spark)
-        base = self._bucketed(Version(table, version.buckets, version.parts[:1]), spark).drop(PART)
-        if keys is not None:
-            base = base.join(keys, table.key, "left_semi")
+        base = _of_keys(self._bucketed(Version(table, version.buckets, version.parts[:1]), spark).drop(PART), table.key, keys)
         if len(version.parts) == 1:
             return base
         newer = self.reduced(Version(table, version.buckets, version.parts[1:]), keys, spark)
         return merge_newer(base, newer, table.key, table.sticky)
 
-    def reduced(self, version: Version, keys: DataFrame | None, spark: SparkSession) -> DataFrame:
+    def reduced(self, version: Version, keys: Keys, spark: SparkSession) -> DataFrame:
         """One row per key over the parts of a raw table, the latest but for sticky columns."""
-        rows = self._bucketed(version, spark)
-        if keys is not None:
-            rows = rows.join(keys, version.table.key, "left_semi")
+        rows = _of_keys(self._bucketed(version, spark), version.table.key, keys)
         if len(version.parts) == 1:
             return rows.drop(PART)
         return last_per_key(rows, version.table.key, [PART], version.table.sticky, version.table.schema.names)
@@ -408,9 +411,9 @@ class Warehouse:
 
     # --- writing ---------------------------------------------------------------
 
-    def write_raw(self, rows: DataFrame, table: RawTable, number: int, buckets: int) -> None:
-        path, spark = self.path(table, number), rows.sparkSession
-        name = f"staged_{table.name}_{self._id}_{number}"
+    def write_raw(self, rows: DataFrame, table: RawTable, part: Part, buckets: int) -> None:
+        path, spark = self.path(table, part.number), rows.sparkSession
+        name = f"staged_{table.name}_{self._id}_{part.number}"
         self.files.delete(path)
         (
             rows.select(*table.schema.names)
@@ -418,6 +421,8 @@ class Warehouse:
             .bucketBy(buckets, table.key)
             .sortBy(table.key)
             .option("path", path)
+            .option(f"parquet.bloom.filter.enabled#{table.key}", "true")
+            .option(f"parquet.bloom.filter.expected.ndv#{table.key}", str(part.keys // buckets + 1))
             .saveAsTable(name)
         )
         spark.sql(f"DROP TABLE `{name}`")  # the files stay
@@ -492,3 +497,11 @@ class Warehouse:
 
 def _folder(number: int) -> str:
     return f"v{number:010d}"
+
+
+def _of_keys(rows: DataFrame, key: str, keys: Keys) -> DataFrame:
+    if keys is None:
+        return rows
+    if isinstance(keys, list):
+        return rows.where(F.col(key).isin(keys))
+    return rows.join(keys, key, "left_semi")

@@ -100,6 +100,32 @@ def test_keys_are_filtered_where_rows_lie(spark, tmp_path):
     assert rows(found.select("session_id", "device")) == [("s150", "d1"), ("s350", "d2")]
 
 
+def test_a_lookup_opens_one_bucket(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), buckets=8, compact_share=5)
+    for n in range(2):
+        load_raw(warehouse, USER_SESSIONS, sessions(spark, 100 * n, 100 * n + 2000, f"d{n}"), day(n))
+    found = warehouse.snapshot().read(USER_SESSIONS, ["s150"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SelectedBucketsCount: 1 out of 8") == 2 and "EqualTo(session_id,s150)" in plan
+    assert [(r["session_id"], r["device"]) for r in found.collect()] == [("s150", "d1")]
+    assert rows(warehouse.snapshot().read(USER_SESSIONS, ["s1", "none", "s2050"]).select("session_id")) == [("s1",), ("s2050",)]
+
+
+def test_keys_have_bloom_filters(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), buckets=1)
+    load_raw(warehouse, USER_SESSIONS, sessions(spark, 0, 60_000), day(0))
+    (file,) = [p for p in (tmp_path / "raw" / "user_sessions").rglob("*.parquet")]
+    jvm = spark._jvm
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(str(file)), spark._jsparkSession.sessionState().newHadoopConf()
+    )
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    having = {columns.get(i).getPath().toDotString() for i in range(columns.size()) if columns.get(i).getBloomFilterOffset() >= 0}
+    reader.close()
+    assert having == {"session_id"}
+
+
 # --- runs ---------------------------------------------------------------------------------
 
 
