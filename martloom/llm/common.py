@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -42,14 +43,18 @@ def text_tag(text: Column) -> Column:
 class Scratch:
     """Tables written between steps, below the folder that all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in
-    tests in one process, a temporary one is made. A written table cuts the lineage: a
+    The folder is the session's ``spark.checkpoint.dir``. Only in one process, as in tests, it
+    may be unset, and a temporary one is made; on a cluster executors would not share that. A written table cuts the lineage: a
     lost executor costs a task's work and not the steps before it.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="run-")
         self.root = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:

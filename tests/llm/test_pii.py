@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import time
 
 import pytest
 
-from martloom.llm.pii import op10_pii, sanitise
+from martloom.llm.pii import KINDS, _every, find, op10_pii, sanitise
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -68,6 +69,23 @@ def test_edges(spark):
     assert sanitise(df.limit(0)).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    """Work grows with the text, not with its square; neighbouring addresses share characters."""
+    texts = [
+        "plain words " * 50_000 + "a@b.c",
+        " ".join(f"user{i}@mail{i}.example.com" for i in range(16_000)),
+        "".join(f"a{i}@b.c%x@d.e" for i in range(3_000)),
+        " ".join(f"10.0.{i % 256}.{i % 199}" for i in range(20_000)),
+        "x" * 10_000 + "@" + "y" * 10_000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    started = time.time()
+    got = {r.doc_id: r.base for r in find(df).select("doc_id", _every(KINDS).alias("base")).collect()}
+    assert time.time() - started < 60
+    for i, text in enumerate(texts):
+        assert [(s.start, s.at, s.end, s.kind) for s in got[i]] == brute(text)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
 def test_base_of_the_sample(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
