@@ -49,7 +49,7 @@ from martloom.llm.segments import FIRST, LATER, SINGLE, keyed
 FANOUT = 8
 COVER = 7  # prefixes that a sketch is long; whole sets at the similarities used here
 LEAST_BITS, MOST_BITS = 64, 65_536
-BITS_A_SHINGLE = 4  # at least; shingles that share a bit loosen the bound on the overlap
+BITS_A_SHINGLE = 2  # at least; shingles that share a bit loosen the bound on the overlap
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
 QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
 COVER_STEPS = 2  # searches for groups that another covers; each finds some more
