@@ -40,10 +40,12 @@ def combine(digests):
 
 
 def brute(rows):
-    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[1], []).append(r)
     trees = []
-    for s in sources:
-        mine = sorted((r for r in rows if r[1] == s), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    for s in sorted(by_source, key=lambda s: (s is not None, (s or "").encode())):
+        mine = sorted(by_source[s], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
         trees.append((mine, *combine([leaf(r) for r in mine])))
     root, upper = combine([sub for _, sub, _ in trees]) if trees else (None, [])
     out = []
@@ -75,11 +77,11 @@ def test_sizes(spark, n):
     agree(spark, rows_of(n, ["a"]))
 
 
-def test_many_blocks(spark, monkeypatch):
-    """Blocks of 9 leaves, so that every sweep takes several rounds, with a hot source."""
-    monkeypatch.setattr(manifests, "HEIGHT", 2)
-    monkeypatch.setattr(manifests, "BLOCK", 9)
-    rows = rows_of(700, ["a"] * 20 + [f"s{i}" for i in range(31)] + [None, "é", ""])
+def test_many_blocks(spark):
+    """A hot source of three blocks, and sources of which the subroots are two blocks."""
+    rows = rows_of(2 * manifests.BLOCK + 500, ["a"]) + [
+        (n, f"s{n % (manifests.BLOCK + 300)}", None, n, "x\ny") for n in range(50_000, 50_000 + manifests.BLOCK + 700)
+    ]
     got = agree(spark, rows)
     assert not all(r[-1] for r in got) and any(r[-1] for r in got)
 
