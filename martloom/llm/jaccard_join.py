@@ -5,7 +5,10 @@ similarity reaches ``num / den``; the result is a class per document, the smalle
 links reach.
 
 1. Equal sets are one node from the start.
-2. Linked sets share one of their least ``n - ceil(t n) + 1`` hashes. Hashes that only one set
+2. Hashes are ordered from rare to frequent: a table of ``BUCKETS`` counters holds how many
+   documents have a hash of each bucket, counted over all documents. Any order gives the same
+   links; this one keeps the hashes of widely shared passages out of the prefixes.
+   Linked sets share one of their least ``n - ceil(t n) + 1`` hashes. Hashes that only one set
    holds are dropped by a shuffle of hashes; those with the same holders are one group, and
    a group whose holders all belong to another is left to that.
    A node's bitmap stands for its least ``COVER`` times as many hashes, its sketch. What two
@@ -32,6 +35,7 @@ are told apart by their 64-bit hashes, sets by 128 bits.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,6 +57,9 @@ BITS_A_SHINGLE = 2  # at least; shingles that share a bit loosen the bound on th
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
 QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
 COVER_STEPS = 2  # searches for groups that another covers; each finds some more
+BUCKET_BITS = 22  # counters of hashes, whatever the size of the corpus: one byte each is broadcast
+BUCKETS, COUNTER_PARTS = 1 << BUCKET_BITS, 16
+COUNT_EVERY = 1_000_000  # hashes held by a task before they are counted
 DOCUMENT = 3  # kind of the rows that stand for a document
 
 
@@ -237,16 +244,62 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+COUNTER_ROW = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
+COUNTER_DDL = "part int, counts binary"
+
+
+def bucket_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Hashes from rare to frequent, as longs: the level of the bucket, then 55 bits of the hash."""
+    return np.sort((levels[bucket_of(shingles)].astype(np.int64) << 55) | (shingles >> np.uint64(9)).astype(np.int64))
+
+
+def _counter(like: Similarity):
+    """How many documents of a task have a hash of each bucket, in compressed parts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, held, size = np.zeros(BUCKETS, np.uint32), [], 0
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                held.append(bucket_of(like.shingles(text or b"")))
+                size += len(held[-1])
+                if size >= COUNT_EVERY:
+                    totals += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.uint32)
+                    held, size = [], 0
+        if held:
+            totals += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.uint32)
+        for part, counts in enumerate(np.split(totals, COUNTER_PARTS)):
+            if counts.any():
+                yield _rows(COUNTER_ROW, [(part, zlib.compress(counts.tobytes(), 1))])
+
+    return count
+
+
+def _leveller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the counters of all tasks, as levels: eight to each doubling."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            total = totals.setdefault(part, np.zeros(BUCKETS // COUNTER_PARTS, np.uint64))
+            total += np.frombuffer(zlib.decompress(counts), np.uint32)
+    for part, total in totals.items():
+        yield _rows(COUNTER_ROW, [(part, np.minimum(255, 8 * np.log2(1.0 + total)).astype(np.uint8).tobytes())])
+
+
 MARK_ROW = pa.schema(
     [("token", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("sig", pa.int64())]
 )
 MARK_DDL = "token long, doc_id long, tag int, kind int, n int, sig long"
 
 
-def _marker(like: Similarity):
+def _marker(like: Similarity, shared):
     """A row a document, with its set's 128 bits, and one for each hash of its prefix."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             made, rows = [], []
             texts = batch.column(2).cast(pa.binary()).to_pylist()
@@ -255,7 +308,7 @@ def _marker(like: Similarity):
                 high, low = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
                 rows.append((int(high), doc, tag, DOCUMENT, len(found), int(low)))
                 if len(found) and doc is not None:
-                    tokens = found[: like.prefix(len(found))].astype(np.int64)
+                    tokens = ordered(found, levels)[: like.prefix(len(found))]
                     made.append((tokens, np.full(len(tokens), doc), np.full(len(tokens), tag, np.int32)))
             yield _rows(MARK_ROW, rows)
             if not made:
@@ -385,9 +438,17 @@ def _comparer(like: Similarity):
 # --- the join ----------------------------------------------------------------------
 
 
+def _levels(named: DataFrame, like: Similarity) -> bytes:
+    """One byte a bucket, greater where more documents have its hashes. The size is fixed."""
+    counted = named.select("text").mapInArrow(_counter(like), COUNTER_DDL).repartition(COUNTER_PARTS, "part")
+    parts = {r.part: bytes(r.counts) for r in counted.mapInArrow(_leveller, COUNTER_DDL).collect()}
+    return b"".join(parts.get(part, bytes(BUCKETS // COUNTER_PARTS)) for part in range(COUNTER_PARTS))
+
+
 def _marks(named: DataFrame, like: Similarity) -> DataFrame:
     """Document rows, and those of hashes that may have several holders."""
-    marked = named.mapInArrow(_marker(like), MARK_DDL)
+    levels = named.sparkSession.sparkContext.broadcast(_levels(named, like))
+    marked = named.mapInArrow(_marker(like, levels), MARK_DDL)
     passing = F.col("kind") >= LATER
     salt = F.when(passing, F.xxhash64("doc_id", "token")).otherwise(F.lit(0).cast("long"))
     held = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
