@@ -19,7 +19,8 @@ links reach.
    itself: a pair of tree nodes is left as soon as bitmaps or sizes rule out the overlap that
    a link needs. Surviving pairs are compared exactly, unless links join them already.
 4. What is still apart though it shares a group is traversed across all groups, and the
-   surviving pairs are compared, until none is left. A quota of pairs for two components in
+   surviving pairs are compared, until none is left. A pair that step 3 compared, or that
+   meets in the group of a lesser hash too, is left out. A quota of pairs for two components in
    a group makes a pass short while one link may join thousands; it grows from pass to pass,
    and the last pass is the one that it did not cut.
 
@@ -330,8 +331,9 @@ def _marker(like: Similarity, shared):
 
 NODE_ROW = pa.schema(
     [("doc_id", pa.int64()), ("component", pa.int64()), ("n", pa.int32()), ("end", pa.int64()), ("bits", pa.binary())]
+    + [("first", pa.int64()), ("part", pa.int64())]
 )
-NODE_DDL = "doc_id long, component long, n int, `end` long, bits binary"
+NODE_DDL = "doc_id long, component long, n int, `end` long, bits binary, first long, part long"
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[dict]]:
@@ -372,7 +374,8 @@ def _clusterer(like: Similarity, limit: int):
                     least[root_of] = min(least.get(root_of, r["doc_id"]), r["doc_id"])
                 for i, r in enumerate(part):
                     bits = leaves[i].bits.to_bytes(leaves[i].width // 8, "little")
-                    out.append((r["doc_id"], least[joined.find(i)], len(sets[i]), sketches[i][1], bits))
+                    compared = r["block"] << 32 | at  # documents that this tree compared with each other
+                    out.append((r["doc_id"], least[joined.find(i)], len(sets[i]), sketches[i][1], bits, r["first"], compared))
                 if len(out) >= 5_000:
                     yield _rows(NODE_ROW, out)
                     out = []
@@ -385,6 +388,13 @@ PAIR_ROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())]
 PAIR_DDL = "a long, b long, cut boolean"
 
 
+def _meets_elsewhere(a: dict, b: dict) -> bool:
+    """True if the pair was compared when its first group was built, or shares a lesser open hash."""
+    if a["first"] == b["first"] and a["part"] == b["part"]:
+        return True
+    return any(a[x] is not None and a[x] == b[x] for x in ("near", "wide"))
+
+
 def _traverser(like: Similarity, quota: int):
     """Pairs between components in a group, or between two blocks of it, at most ``quota`` for two components."""
 
@@ -401,7 +411,7 @@ def _traverser(like: Similarity, quota: int):
             seen: dict[tuple[int, int], int] = {}
             for i, j in found:
                 a, b = group[i], group[j]
-                if a["component"] == b["component"]:
+                if a["component"] == b["component"] or _meets_elsewhere(a, b):
                     continue
                 key = tuple(sorted((a["component"], b["component"])))
                 seen[key] = seen.get(key, 0) + 1
@@ -474,6 +484,13 @@ def _shared(tokens: DataFrame, members: DataFrame, scratch: Scratch) -> DataFram
     return shared
 
 
+def _with_lesser(shared: DataFrame) -> DataFrame:
+    """Beside each hash of a holder, two lesser ones of it: the next below, and the widest held."""
+    lesser = Window.partitionBy("doc_id").orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
+    rows = shared.withColumn("near", F.max("token").over(lesser))
+    return rows.withColumn("wide", F.max(F.struct("c", "token")).over(lesser)["token"])
+
+
 def _uncovered(shared: DataFrame) -> DataFrame:
     """``shared`` without hashes whose holders all hold one and the same lesser hash.
 
@@ -481,10 +498,7 @@ def _uncovered(shared: DataFrame) -> DataFrame:
     downwards, that is so for nearly all hashes of a passage but its least. Each holder names
     two lesser hashes: the next below, and the one that most sets hold.
     """
-    lesser = Window.partitionBy("doc_id").orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
-    rows = shared.withColumn("near", F.max("token").over(lesser))
-    rows = rows.withColumn("wide", F.max(F.struct("c", "token")).over(lesser)["token"])
-    named = rows.groupBy("token", "c").agg(
+    named = _with_lesser(shared).groupBy("token", "c").agg(
         *(f(x).alias(f"{f.__name__}_{x}") for x in ("near", "wide") for f in (F.count, F.min, F.max))
     )
     one = [f"coalesce(count_{x} = c AND min_{x} = max_{x}, false)" for x in ("near", "wide")]
@@ -501,12 +515,12 @@ def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id"), blocks)
     rows = rows.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    rows = rows.select("token", "doc_id", "component", "n", "end", "bits", "block", other)
+    rows = rows.select("token", "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide", other)
     return rows.select(
         "token",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
-        "doc_id", "component", "n", "end", "bits", "block",
+        "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide",
     )
 
 
@@ -561,7 +575,8 @@ def _joined(named: DataFrame, like: Similarity, limit: int, scratch: Scratch) ->
 
     least = shared.groupBy("doc_id").agg(F.min("token").alias("first"))
     firsts = members.where("doc_id = class").select("doc_id", "tag").distinct()
-    texts = named.join(firsts.join(least, "doc_id"), ["doc_id", "tag"]).dropDuplicates(["doc_id"])
+    # Each id has one text here, so its rows are equal.
+    texts = named.drop("tag").join(firsts.join(least, "doc_id").drop("tag"), "doc_id").dropDuplicates(["doc_id"])
     texts = scratch.save(texts.select("doc_id", "first", "text"), "texts")
     # A hot hash is spread over tasks; what its blocks leave apart meets in the passes below.
     size = shared.select("token", "c").distinct().selectExpr("token AS first", "c")
@@ -574,27 +589,31 @@ def _joined(named: DataFrame, like: Similarity, limit: int, scratch: Scratch) ->
 
     # A group in one block, and the first of all its holders, is done with.
     done = texts.groupBy("first").agg(F.count("*").alias("met")).join(size, "first").where(f"met = c AND c <= {limit}")
-    shared = scratch.save(shared.join(done.selectExpr("first AS token"), "token", "left_anti"), "open")
+    shared = scratch.save(_with_lesser(shared.join(done.selectExpr("first AS token"), "token", "left_anti")), "open")
 
     tried, quota, step = None, QUOTA, 0
     while True:
         step += 1
         rows = _unfinished(shared, nodes, limit).repartition("token", "i", "j")
-        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "end", "bits", "block")
+        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide")
         found = scratch.save(rows.mapInArrow(_traverser(like, quota), PAIR_DDL).distinct(), f"pairs-{step}")
         cut = not found.where("cut").isEmpty()
         fresh = found.where("NOT cut").select("a", "b")
         if tried is not None:
             fresh = fresh.join(tried, ["a", "b"], "left_anti")
         tried = found.where("NOT cut").select("a", "b") if tried is None else tried.unionByName(fresh)
-        links = scratch.save(_verified(fresh, texts, like), f"links-{step}")
+        fresh = scratch.save(fresh, f"fresh-{step}")
+        ends = fresh.selectExpr("a AS doc_id").union(fresh.selectExpr("b AS doc_id")).distinct()
+        asked = scratch.save(texts.join(ends, "doc_id", "left_semi"), f"asked-{step}")
+        links = scratch.save(_verified(fresh, asked, like), f"links-{step}")
+        scratch.drop(f"asked-{step}")
         if not links.isEmpty():
             of = nodes.select("doc_id", "component")
             ends = links.join(of.selectExpr("doc_id AS a", "component AS x"), "a").join(of.selectExpr("doc_id AS b", "component AS y"), "b")
             merged = components(ends.selectExpr("x AS a", "y AS b"), Scratch(named.sparkSession, "jaccard-links"))
             merged = merged.selectExpr("node AS component", "component AS joined")
             nodes = nodes.join(merged, "component", "left").select(
-                "doc_id", F.coalesce("joined", "component").alias("component"), "n", "end", "bits"
+                "doc_id", F.coalesce("joined", "component").alias("component"), "n", "end", "bits", "first", "part"
             )
             nodes = scratch.save(nodes, f"nodes-{step}")
         if not cut:
