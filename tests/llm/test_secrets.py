@@ -105,3 +105,25 @@ def test_gradients_are_those_of_the_loss():
             up[n][at] += 1e-5
             down[n][at] -= 1e-5
             assert abs((loss(up) - loss(down)) / 2e-5 - g[at]) < 1e-4
+
+
+def test_every_finding_takes_part(spark, monkeypatch):
+    """Each of several shards trains, all findings in one of them, and the model is the same on other partitions."""
+    made = [(n, f"password = x{n}{hashlib.md5(b'%d' % n).hexdigest()[:18]} file-{n:05}-of-99999.png") for n in range(300)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    seen = spark.sparkContext.accumulator(0)
+    fit = secrets.fit
+
+    def counting(codes, *more):
+        seen.add(len(codes))
+        return fit(codes, *more)
+
+    monkeypatch.setattr(secrets, "fit", counting)
+    net = secrets.learn(docs, shard=150)
+    assert seen.value > 2 * 3 * 300  # three rounds of more than 300 findings, each also bare
+    other = secrets.learn(docs.repartition(7), shard=150)
+    assert all(np.array_equal(a, b) for a, b in zip(net, other))
+    views = [(secrets.view(t, *c), secrets._overlaps(*c, secrets.base_spans(t))) for _, t in made for c in secrets.candidates(t)]
+    passed = net.probability(secrets.encode([v for v, _ in views])) >= net.threshold
+    labels = np.array([label for _, label in views])
+    assert passed[labels].mean() >= 0.9 and passed[~labels].mean() <= 0.1
