@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import zlib
 from collections import defaultdict
 
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from martloom.llm import packing
 from martloom.llm.packing import best_fit, cuts, evolve, pack, token_ids
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -83,3 +85,18 @@ def test_search_keeps_every_piece():
             held[b] += sizes[i]
         assert max(held.values()) <= 100 and sorted(held) == list(range(len(held)))
     assert best_fit([5, 4, 3], [0, 1, 2], [], 7) == [[0], [1, 2]]
+
+
+@pytest.mark.parametrize("text", ["", " ", "a\n\n b  c", "x" * 5000, "日本語 naïve 😀", "<|endoftext|>", "a<|endoftext|>b <|endof"])
+def test_ids_without_a_list(text):
+    made = packing.token_array(text)
+    assert made.dtype == np.dtype("<u4") and made.tolist() == [*packing.token_ids(text), packing.END]
+
+
+def test_fitness_is_worked_out_once_a_packing(monkeypatch):
+    asked, fitness = [], packing.fitness
+    monkeypatch.setattr(packing, "fitness", lambda sizes, bins, capacity: asked.append(id(bins)) or fitness(sizes, bins, capacity))
+    rng = random.Random(5)
+    sizes = [rng.randrange(600, 1000) for _ in range(300)]  # two of a sequence: the least number is out of reach
+    packing.evolve(sizes, [], 2048, 1)
+    assert len(asked) == packing.POPULATION + packing.GENERATIONS * (packing.POPULATION // 2)
