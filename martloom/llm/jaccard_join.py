@@ -20,7 +20,8 @@ links reach.
    a link needs. Surviving pairs are compared exactly, unless links join them already.
 4. What is still apart though it shares a group is traversed across all groups, and the
    surviving pairs are compared, until none is left. A pair that step 3 compared, or that
-   meets in the group of a lesser hash too, is left out. A quota of pairs for two components in
+   meets in the group of a lesser hash too, is left out. A text comes once to all its pairs of
+   a group, as a row a pair with its texts would outgrow the documents. A quota of pairs for two components in
    a group makes a pass short while one link may join thousands; it grows from pass to pass,
    and the last pass is the one that it did not cut.
 
@@ -56,6 +57,7 @@ COVER = 7  # prefixes that a sketch is long; whole sets at the similarities used
 LEAST_BITS, MOST_BITS = 64, 65_536
 BITS_A_SHINGLE = 2  # at least; shingles that share a bit loosen the bound on the overlap
 GROUP_LIMIT = 2_000  # sets of which one tree is built in memory
+SHARE_PAIRS = 50_000  # pairs of one meeting that a task compares, about
 QUOTA, QUOTA_GROWTH = 16, 256  # pairs allowed for two components in a group in the first pass, and their growth
 COVER_STEPS = 2  # searches for groups that another covers; each finds some more
 BUCKET_BITS = 22  # counters of hashes, whatever the size of the corpus: one byte each is broadcast
@@ -384,8 +386,8 @@ def _clusterer(like: Similarity, limit: int):
     return cluster
 
 
-PAIR_ROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
-PAIR_DDL = "a long, b long, cut boolean"
+PAIR_ROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_()), ("meeting", pa.int64())])
+PAIR_DDL = "a long, b long, cut boolean, meeting long"
 
 
 def _meets_elsewhere(a: dict, b: dict) -> bool:
@@ -402,7 +404,7 @@ def _traverser(like: Similarity, quota: int):
         out = []
         for group in _groups(batches, 3):
             leaves = [leaf(int.from_bytes(r["bits"], "little"), r["n"], r["end"], like, i) for i, r in enumerate(group)]
-            left, right = group[0]["i"], group[0]["j"]
+            left, right, meeting = group[0]["i"], group[0]["j"], group[0]["meeting"]
             if left == right:
                 found = pairs(root := tree(leaves), root, like)
             else:
@@ -416,9 +418,9 @@ def _traverser(like: Similarity, quota: int):
                 key = tuple(sorted((a["component"], b["component"])))
                 seen[key] = seen.get(key, 0) + 1
                 if seen[key] <= quota:
-                    out.append((min(a["doc_id"], b["doc_id"]), max(a["doc_id"], b["doc_id"]), False))
+                    out.append((min(a["doc_id"], b["doc_id"]), max(a["doc_id"], b["doc_id"]), False, meeting))
                 elif seen[key] == quota + 1:
-                    out.append((None, None, True))
+                    out.append((None, None, True, None))
             if len(out) >= 20_000:
                 yield _rows(PAIR_ROW, out)
                 out = []
@@ -431,14 +433,24 @@ def _comparer(like: Similarity):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (a, b, text of a, text of b) sorted by a."""
-        last, held = None, None
+        """Rows (meeting, share, a, b, text): the texts of a share, whose b is null, before its pairs.
+
+        Pairs that links of the share join already are left out.
+        """
+        current, held, place, joined = None, [], {}, Union(0)
         for batch in batches:
             rows = []
-            for a, b, one, other in zip(*(c.to_pylist() for c in batch.columns)):
-                if a != last:
-                    last, held = a, like.shingles(one.encode())
-                if like.linked(held, like.shingles(other.encode())):
+            for meeting, share, a, b, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (meeting, share) != current:
+                    current, held, place, joined = (meeting, share), [], {}, Union(0)
+                if b is None:
+                    place[a] = len(held)
+                    joined.up.append(len(held))
+                    held.append(like.shingles(text.encode()))
+                    continue
+                i, j = place[a], place[b]
+                if joined.find(i) != joined.find(j) and like.linked(held[i], held[j]):
+                    joined.join(i, j)
                     rows.append((a, b))
             yield _rows(schema, rows)
 
@@ -516,19 +528,25 @@ def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     rows = rows.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
     rows = rows.select("token", "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide", other)
-    return rows.select(
+    rows = rows.select(
         "token",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide",
     )
+    return rows.withColumn("meeting", F.xxhash64("token", "i", "j"))
 
 
 def _verified(found: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
-    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
-    both = found.join(one, "a").join(other, "b").select("a", "b", "one", "other")
-    return both.sortWithinPartitions("a").mapInArrow(_comparer(like), "a long, b long")
+    """Links among pairs (a, b, meeting); a large meeting is dealt to several tasks."""
+    size = found.groupBy("meeting").agg(F.ceil(F.count("*") / SHARE_PAIRS).alias("shares"))
+    dealt = found.join(size, "meeting").select("meeting", F.pmod(F.xxhash64("a"), "shares").alias("share"), "a", "b")
+    asked = dealt.select("meeting", "share", "a").union(dealt.select("meeting", "share", "b")).distinct()
+    asked = asked.join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
+    asked = asked.select("meeting", "share", "a", F.lit(None).cast("long").alias("b"), "text")
+    rows = asked.unionByName(dealt.withColumn("text", F.lit(None).cast("string")))
+    rows = rows.repartition("meeting", "share").sortWithinPartitions("meeting", "share", F.col("b").asc_nulls_first(), "a")
+    return rows.mapInArrow(_comparer(like), "a long, b long")
 
 
 def join_similar(docs: DataFrame, like: Similarity = Similarity(), limit: int = GROUP_LIMIT) -> DataFrame:
@@ -595,18 +613,16 @@ def _joined(named: DataFrame, like: Similarity, limit: int, scratch: Scratch) ->
     while True:
         step += 1
         rows = _unfinished(shared, nodes, limit).repartition("token", "i", "j")
-        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide")
-        found = scratch.save(rows.mapInArrow(_traverser(like, quota), PAIR_DDL).distinct(), f"pairs-{step}")
+        rows = rows.sortWithinPartitions("token", "i", "j", "doc_id").select("token", "i", "j", "doc_id", "component", "n", "end", "bits", "block", "first", "part", "near", "wide", "meeting")
+        found = rows.mapInArrow(_traverser(like, quota), PAIR_DDL)
+        found = scratch.save(found.groupBy("a", "b", "cut").agg(F.min("meeting").alias("meeting")), f"pairs-{step}")
         cut = not found.where("cut").isEmpty()
-        fresh = found.where("NOT cut").select("a", "b")
+        fresh = found.where("NOT cut").select("a", "b", "meeting")
         if tried is not None:
             fresh = fresh.join(tried, ["a", "b"], "left_anti")
-        tried = found.where("NOT cut").select("a", "b") if tried is None else tried.unionByName(fresh)
+        tried = found.where("NOT cut").select("a", "b") if tried is None else tried.unionByName(fresh.select("a", "b"))
         fresh = scratch.save(fresh, f"fresh-{step}")
-        ends = fresh.selectExpr("a AS doc_id").union(fresh.selectExpr("b AS doc_id")).distinct()
-        asked = scratch.save(texts.join(ends, "doc_id", "left_semi"), f"asked-{step}")
-        links = scratch.save(_verified(fresh, asked, like), f"links-{step}")
-        scratch.drop(f"asked-{step}")
+        links = scratch.save(_verified(fresh, texts, like), f"links-{step}")
         if not links.isEmpty():
             of = nodes.select("doc_id", "component")
             ends = links.join(of.selectExpr("doc_id AS a", "component AS x"), "a").join(of.selectExpr("doc_id AS b", "component AS y"), "b")

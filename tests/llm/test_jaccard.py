@@ -7,8 +7,10 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from martloom.llm import jaccard_join
 from martloom.llm.jaccard_join import (
     Similarity,
     bitmap,
@@ -135,3 +137,37 @@ def test_trees_lose_no_link():
     assert linked and linked <= found and len(found) < len(sets) * (len(sets) - 1) / 2 / 4
     assert all(may_link(leaves[i], leaves[j], like) for i, j in linked)
     assert folded(bitmap(sets[0], 512), 512, 64) == bitmap(sets[0], 64)
+
+
+@pytest.mark.parametrize("share,texts", [(50_000, 30), (40, None)])
+def test_a_text_comes_once_to_its_pairs(spark, monkeypatch, share, texts):
+    """Not once for each pair; dealing a meeting to tasks loses no pair."""
+    rng, like, seen = random.Random(5), Similarity(2, 50, 100), spark.sparkContext.accumulator(0)
+    bases = [[f"{b}{i}" for i in range(30)] for b in "xyz"]
+    rows = [(i, " ".join(w if rng.random() > 0.1 else "other" for w in bases[i % 3])) for i in range(30)]
+    made = jaccard_join._comparer
+
+    def counting(like):
+        compare = made(like)
+
+        def count(batches):
+            def look():
+                for batch in batches:
+                    seen.add(sum(len(c) - c.null_count for c in batch.columns if not pa.types.is_integer(c.type)))
+                    yield batch
+
+            yield from compare(look())
+
+        return count
+
+    monkeypatch.setattr(jaccard_join, "_comparer", counting)
+    monkeypatch.setattr(jaccard_join, "SHARE_PAIRS", share)
+    found = spark.createDataFrame([(a, b, 1) for a, b in combinations(range(30), 2)], "a long, b long, meeting long")
+    links = jaccard_join._verified(found, spark.createDataFrame(rows, "doc_id long, text string"), like).collect()
+    joined = jaccard_join.Union(30)
+    for a, b in links:
+        joined.join(a, b)
+    same = {(i, j) for i, j in combinations(range(30), 2) if joined.find(i) == joined.find(j)}
+    of = {doc: component for doc, _, component in brute(rows, like)}
+    assert same == {(i, j) for i, j in combinations(range(30), 2) if of[i] == of[j]}
+    assert seen.value == texts if texts else 30 < seen.value < 2 * 435
