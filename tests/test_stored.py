@@ -5,13 +5,16 @@ from __future__ import annotations
 import glob
 import gzip
 import json
+import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from martloom.plans import dumps, stored
+from martloom.plans.refresh import load_raw
 from martloom.schemas import EVENT_LOGS
 from martloom.sources import dump
+from martloom.sources.documents import documents_from
 from martloom.sources.warehouse import CLEAN_UP, READ_BYTES, Warehouse
 
 ROWS = [(str(n), datetime(2024, 1, 1, 0, n % 60), "view", json.dumps({"k": n})) for n in range(400)]
@@ -59,3 +62,29 @@ def test_sessions_of_loads(spark, tmp_path):
     session = run.session_for(EVENT_LOGS, 200 << 20)
     assert session.conf.get("spark.sql.shuffle.partitions") == "8"
     assert session.conf.get(CLEAN_UP) == "true" and session.conf.get(READ_BYTES) == str(16 << 20)
+
+
+def test_shuffles_follow_the_tables(spark, tmp_path):
+    """Else twelve tasks sort what sixty times the rows make of their share."""
+    for name, size in {"events": 1 << 20, "orders": 1 << 20, "lineitem": 1 << 30}.items():
+        with open(f"{tmp_path}/{name}.parquet", "wb") as f:
+            f.truncate(size)
+    assert stored._derivation(spark, str(tmp_path))[stored.SHUFFLES] == "65"
+    os.truncate(f"{tmp_path}/lineitem.parquet", 1 << 20)
+    assert stored._derivation(spark, str(tmp_path))[stored.SHUFFLES] == spark.conf.get(stored.SHUFFLES)
+
+
+def test_marts_read_by_a_session_of_the_tables_size(spark, tmp_path):
+    texts = spark.createDataFrame([(json.dumps({"event_id": r[0], "timestamp": str(r[1]), "event_type": r[2]}), r[0]) for r in ROWS], "text string, n string")
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2, bucket_bytes=1 << 9)
+    load_raw(warehouse, EVENT_LOGS, documents_from(texts, "text", ["n"]), datetime(2024, 2, 1))
+    stored_files = glob.glob(f"{tmp_path}/w/raw/{EVENT_LOGS.name}/v*/*.parquet")
+    assert stored_files and all(f.endswith(".zstd.parquet") for f in stored_files)
+    with warehouse.begin() as run:
+        run.widen()
+        held = sum(map(os.path.getsize, stored_files))
+        shuffles = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
+        assert shuffles == warehouse.bucket_count(2, held) > 2
+        assert run.read(EVENT_LOGS).sparkSession.conf.get("spark.sql.shuffle.partitions") == str(shuffles)
+        assert run.read(EVENT_LOGS).count() == len(ROWS)
+    warehouse.drop()
