@@ -43,12 +43,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martloom.llm.anchors import gram_hashes, split_words, word_symbols
-from martloom.llm.common import Scratch, table
+from martloom.llm.common import PACKED, Scratch, table
 from martloom.llm.components import components
 from martloom.llm.segments import FIRST, LATER, SINGLE, keyed
 
@@ -63,6 +63,7 @@ COVER_STEPS = 2  # searches for groups that another covers; each finds some more
 BUCKET_BITS = 22  # counters of hashes, whatever the size of the corpus: one byte each is broadcast
 BUCKETS, COUNTER_PARTS = 1 << BUCKET_BITS, 16
 COUNT_EVERY = 1_000_000  # hashes held by a task before they are counted
+MARKED_BITS = 22  # bits that stand for the ids to be joined, whatever their number: half a MB is broadcast
 DOCUMENT = 3  # kind of the rows that stand for a document
 
 
@@ -537,12 +538,28 @@ def _unfinished(shared: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     return rows.withColumn("meeting", F.xxhash64("token", "i", "j"))
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose doc_id may be in the one column of ``ids``; the join that tells comes next.
+
+    Texts that no row of ``ids`` asks for are then not shuffled. The ids set bits of a table of
+    fixed size, so more of them let more texts pass and broadcast no more.
+    """
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << MARKED_BITS))
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    words = ids.select(place(ids.columns[0]).alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    found = rows.withColumn("place", place("doc_id")).withColumn("word", F.shiftright("place", 6)).join(F.broadcast(words), "word")
+    return found.where(F.call_function("bit_get", "mask", (F.col("place") % 64).cast("int")) == 1).select(*rows.columns)
+
+
 def _verified(found: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Links among pairs (a, b, meeting); a large meeting is dealt to several tasks."""
     size = found.groupBy("meeting").agg(F.ceil(F.count("*") / SHARE_PAIRS).alias("shares"))
     dealt = found.join(size, "meeting").select("meeting", F.pmod(F.xxhash64("a"), "shares").alias("share"), "a", "b")
     asked = dealt.select("meeting", "share", "a").union(dealt.select("meeting", "share", "b")).distinct()
-    asked = asked.join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
+    wanted = _marked(texts, found.select("a").union(found.select("b")))
+    asked = asked.join(wanted.select(F.col("doc_id").alias("a"), "text"), "a")
     asked = asked.select("meeting", "share", "a", F.lit(None).cast("long").alias("b"), "text")
     rows = asked.unionByName(dealt.withColumn("text", F.lit(None).cast("string")))
     rows = rows.repartition("meeting", "share").sortWithinPartitions("meeting", "share", F.col("b").asc_nulls_first(), "a")
@@ -594,14 +611,16 @@ def _joined(named: DataFrame, like: Similarity, limit: int, scratch: Scratch) ->
     least = shared.groupBy("doc_id").agg(F.min("token").alias("first"))
     firsts = members.where("doc_id = class").select("doc_id", "tag").distinct()
     # Each id has one text here, so its rows are equal.
-    texts = named.drop("tag").join(firsts.join(least, "doc_id").drop("tag"), "doc_id").dropDuplicates(["doc_id"])
-    texts = scratch.save(texts.select("doc_id", "first", "text"), "texts")
     # A hot hash is spread over tasks; what its blocks leave apart meets in the passes below.
+    # Blocks are dealt before the texts come, so that a text is shuffled to its id and to its block.
     size = shared.select("token", "c").distinct().selectExpr("token AS first", "c")
-    dealt = texts.join(size, "first").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("c") / limit))
-    )
-    dealt = dealt.select("first", "block", "doc_id", "text").repartition("first", "block")
+    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("c") / limit))
+    wanted = firsts.join(least, "doc_id").join(size, "first").select("doc_id", "first", block.alias("block"))
+    wanted = scratch.save(wanted, "wanted")
+    texts = _marked(named.drop("tag"), wanted.select("doc_id")).join(wanted, "doc_id").dropDuplicates(["doc_id"])
+    texts = scratch.save(texts.select("doc_id", "first", "block", "text"), "texts", PACKED)
+    scratch.drop("wanted")
+    dealt = texts.select("first", "block", "doc_id", "text").repartition("first", "block")
     nodes = dealt.sortWithinPartitions("first", "block", "doc_id").mapInArrow(_clusterer(like, limit), NODE_DDL)
     nodes = scratch.save(nodes, "nodes-0")
 

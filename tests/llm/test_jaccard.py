@@ -171,3 +171,14 @@ def test_a_text_comes_once_to_its_pairs(spark, monkeypatch, share, texts):
     of = {doc: component for doc, _, component in brute(rows, like)}
     assert same == {(i, j) for i, j in combinations(range(30), 2) if of[i] == of[j]}
     assert seen.value == texts if texts else 30 < seen.value < 2 * 435
+
+
+def test_only_texts_that_are_asked_for_pass(spark):
+    """Else every text is shuffled to the few pairs of a pass."""
+    texts = spark.range(-10_000, 10_000).selectExpr("id AS doc_id", "string(id) AS text")
+    ids = [-10_000, -77, 0, 4711, 9_999]
+    passed = jaccard_join._marked(texts, spark.createDataFrame([(i,) for i in ids], "a long"))
+    assert passed.columns == ["doc_id", "text"]
+    found = {r.doc_id for r in passed.collect()}
+    assert found.issuperset(ids) and len(found) < 50
+    assert jaccard_join._marked(texts, spark.createDataFrame([], "a long")).isEmpty()
