@@ -88,3 +88,36 @@ def test_marts_read_by_a_session_of_the_tables_size(spark, tmp_path):
         assert run.read(EVENT_LOGS).sparkSession.conf.get("spark.sql.shuffle.partitions") == str(shuffles)
         assert run.read(EVENT_LOGS).count() == len(ROWS)
     warehouse.drop()
+
+
+def test_buckets_follow_the_rows(spark, tmp_path):
+    """Rows much alike are small in files; a task sorts them at their full size all the same."""
+    count = 8 << 10
+    rows = spark.range(count).selectExpr("to_json(struct(string(id) AS event_id, '2024-01-01T00:00:00' AS timestamp, 'view' AS event_type)) AS text", "id AS n")
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2, bucket_rows=1 << 10, compact_share=0)
+    for day in (1, 2, 3):
+        load_raw(warehouse, EVENT_LOGS, documents_from(rows, "text", ["n"]), datetime(2024, 2, day))
+        version = warehouse.snapshot().versions[EVENT_LOGS.name]
+        # The first load needs eight, its merge with as many rows twice that, and no load more.
+        assert version.buckets == (8 if day == 1 else 16)
+        assert [p.keys for p in version.parts] == [count]
+    assert warehouse.read(EVENT_LOGS).count() == count
+    with warehouse.begin() as run:
+        assert run.buckets_for(EVENT_LOGS, 1, 20 << 10) == 32
+        run.widen()
+        assert run.spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    warehouse.drop()
+
+
+def test_parsed_documents_are_not_sorted(spark, tmp_path, monkeypatch):
+    """Splitting them by folder sorts whatever a task parsed."""
+    rows = spark.createDataFrame([('{"event_id": "1", "timestamp": "2024-01-01T00:00:00", "event_type": "view"}', 1), ("x", 2)], "text string, n int")
+    warehouse, seen = Warehouse(spark, str(tmp_path / "w"), buckets=2), []
+    size = warehouse.files.size
+    monkeypatch.setattr(warehouse.files, "size", lambda path: seen.extend(glob.glob(f"{path}/**/*.parquet", recursive=True)) or size(path))
+    report = load_raw(warehouse, EVENT_LOGS, documents_from(rows, "text", ["n"]), datetime(2024, 2, 1))
+    parsed = [f for f in seen if "/parsed/" in f]
+    assert parsed and not any("rejected=" in f for f in parsed)
+    assert (report.source, report.accepted, report.rejected) == (2, 1, 1)
+    assert [(r.reason, r.document) for r in warehouse.quarantine().collect()] == [("not a JSON object", "x")]
+    warehouse.drop()
