@@ -15,7 +15,7 @@ from martloom.plans.refresh import load_raw
 from martloom.schemas import EVENT_LOGS
 from martloom.sources import dump
 from martloom.sources.documents import documents_from
-from martloom.sources.warehouse import CLEAN_UP, READ_BYTES, Warehouse
+from martloom.sources.warehouse import CLEAN_UP, JOINED_BYTES, READ_BYTES, TASK_ROWS, Warehouse
 
 ROWS = [(str(n), datetime(2024, 1, 1, 0, n % 60), "view", json.dumps({"k": n})) for n in range(400)]
 
@@ -121,3 +121,35 @@ def test_parsed_documents_are_not_sorted(spark, tmp_path, monkeypatch):
     assert (report.source, report.accepted, report.rejected) == (2, 1, 1)
     assert [(r.reason, r.document) for r in warehouse.quarantine().collect()] == [("not a JSON object", "x")]
     warehouse.drop()
+
+
+def test_a_task_sorts_no_more_than_its_rows(spark, tmp_path, monkeypatch):
+    """Partitions joined up to 64 MB of packed blocks hold millions of rows much alike, and spill."""
+    count = 60_000
+    rows = spark.range(count).selectExpr("to_json(struct(string(id) AS event_id, '2024-01-01T00:00:00' AS timestamp, 'view' AS event_type)) AS text", "id AS n")
+    assert Warehouse(spark, str(tmp_path / "other"), buckets=1).bucket_count(1, 1, TASK_ROWS + 1) == 2
+    monkeypatch.setattr("martloom.plans.refresh.TASK_ROWS", count // 6)
+    monkeypatch.setattr("martloom.sources.warehouse.TASK_ROWS", count // 6)
+    monkeypatch.setattr("martloom.sources.warehouse.SMALL_JOINED", "1")
+    warehouse, staged = Warehouse(spark, str(tmp_path / "w"), buckets=2, bucket_rows=count // 6), []
+    size = warehouse.files.size
+    monkeypatch.setattr(warehouse.files, "size", lambda path: staged.extend(glob.glob(f"{path}/*.parquet")) or size(path))
+    with warehouse.begin() as run:
+        load_raw(run, EVENT_LOGS, documents_from(rows.coalesce(1), "text", ["n"]), datetime(2024, 2, 1))
+        held = run.read(EVENT_LOGS)
+        assert held.count() == count and run.versions[EVENT_LOGS.name].buckets == 8
+        run.widen()
+        assert run.spark.conf.get(JOINED_BYTES) == "1"
+        session = run.session_for(EVENT_LOGS, 1 << 20, count)
+        assert session.conf.get(READ_BYTES) == str((1 << 20) // 6)
+    assert len([f for f in staged if "/parsed/" in f]) == 6  # files are not split when read
+    warehouse.drop()
+
+
+def test_derivation_follows_the_rows(spark, tmp_path):
+    n = int(spark.conf.get(stored.SHUFFLES))
+    assert stored._derivation(spark, str(tmp_path), 3 * n * stored.SOURCE_ROWS)[stored.SHUFFLES] == str(3 * n + 1)
+    assert int(stored._derivation(spark, str(tmp_path))[JOINED_BYTES]) <= 4 << 20
+    for name, count in zip(stored.SOURCES, (3, 1, 2)):
+        spark.range(count).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert stored._most_rows(spark, str(tmp_path)) == 3
