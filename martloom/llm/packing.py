@@ -23,7 +23,7 @@ import base64
 import functools
 import random
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ SEQUENCE = 2048
 END = 0
 BLOCK = 3_000  # pieces of a block
 ISLANDS = 3
+ISLANDS_A_TASK = 4  # about: an island's epoch is shorter than the start of a task
 EPOCHS = 2
 GENERATIONS = 6
 POPULATION = 5
@@ -104,14 +105,27 @@ def _tokeniser(size: int, ranks_file: str):
 # --- the search in one block: small helpers over lists of sizes ---------------
 
 
-def best_fit(sizes: list[int], pieces: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Put each of ``pieces`` into the open bin that it fills best; ``bins`` is extended."""
-    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
+class Held(list):
+    """Pieces of a bin, with the sum of their sizes: asked for many times, added up once."""
+
+    __slots__ = ("filled",)
+
+    def __init__(self, pieces: Iterable[int] = (), filled: int = 0):
+        super().__init__(pieces)
+        self.filled = filled
+
+
+def best_fit(sizes: list[int], pieces: list[int], bins: list[Held], capacity: int) -> list[Held]:
+    """Put each of ``pieces`` into the open bin that it fills best; ``bins`` and those in it are extended."""
+    by_room: dict[int, list[int]] = {}
     rooms = 0  # bit r: some bin has r left
     for b, held in enumerate(bins):
-        room = capacity - fill(sizes, held)
-        by_room[room].append(b)
-        rooms |= 1 << room
+        room = capacity - held.filled
+        if room in by_room:
+            by_room[room].append(b)
+        else:
+            by_room[room] = [b]
+            rooms |= 1 << room
     for i in pieces:
         size = sizes[i]
         fitting = rooms >> size
@@ -119,13 +133,20 @@ def best_fit(sizes: list[int], pieces: list[int], bins: list[list[int]], capacit
             room = size + (fitting & -fitting).bit_length() - 1
             b = by_room[room].pop()
             if not by_room[room]:
-                rooms &= ~(1 << room)
+                del by_room[room]
+                rooms ^= 1 << room
+            held = bins[b]
+        else:
+            room, b, held = capacity, len(bins), Held()
+            bins.append(held)
+        held.append(i)
+        held.filled += size
+        room -= size
+        if room in by_room:
+            by_room[room].append(b)
         else:
-            room, b = capacity, len(bins)
-            bins.append([])
-        bins[b].append(i)
-        by_room[room - size].append(b)
-        rooms |= 1 << (room - size)
+            by_room[room] = [b]
+            rooms |= 1 << room
     return bins
 
 
@@ -133,41 +154,43 @@ def fill(sizes: list[int], held: list[int]) -> int:
     return sum(map(sizes.__getitem__, held))
 
 
-def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, float]:
+def fitness(sizes: list[int], bins: list[Held], capacity: int) -> tuple[int, float]:
     """Fewer bins first, then unevenly filled ones, which leave room to use."""
-    return len(bins), -sum((fill(sizes, held) / capacity) ** 2 for held in bins)
+    return len(bins), -sum([(held.filled / capacity) ** 2 for held in bins])
 
 
-def crossover(sizes: list[int], a: list[list[int]], b: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
+def crossover(sizes: list[int], a: list[Held], b: list[Held], capacity: int, rng: random.Random) -> list[Held]:
     """``a`` with a part of the well-filled bins of ``b``."""
-    full = sorted(b, key=lambda held: -fill(sizes, held))[: max(1, len(b) // 2)]
+    full = sorted(b, key=lambda held: -held.filled)[: max(1, len(b) // 2)]
     injected = rng.sample(full, max(1, len(full) // 2))
     taken = {i for held in injected for i in held}
-    kept, displaced = [list(held) for held in injected], []
+    kept, displaced = [Held(held, held.filled) for held in injected], []
     for held in a:
         if taken.isdisjoint(held):
-            kept.append(list(held))
+            kept.append(Held(held, held.filled))
         else:
             displaced += [i for i in held if i not in taken]
     return best_fit(sizes, sorted(displaced, key=lambda i: -sizes[i]), kept, capacity)
 
 
-def mutate(sizes: list[int], bins: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Open the emptiest bins and some others, and fit their pieces again."""
-    order = sorted(range(len(bins)), key=lambda b: fill(sizes, bins[b]))
+def mutate(sizes: list[int], bins: list[Held], capacity: int, rng: random.Random) -> list[Held]:
+    """Open the emptiest bins and some others, and fit their pieces again; the others are taken over from ``bins``."""
+    order = sorted(range(len(bins)), key=lambda b: bins[b].filled)
     opened = set(order[:2]) | set(rng.sample(order, min(len(order), 4)))
     displaced = sorted((i for b in opened for i in bins[b]), key=lambda i: -sizes[i] * rng.uniform(0.9, 1.1))
-    return best_fit(sizes, displaced, [list(bins[b]) for b in range(len(bins)) if b not in opened], capacity)
+    return best_fit(sizes, displaced, [held for b, held in enumerate(bins) if b not in opened], capacity)
 
 
-def _bins(assigned: list[int]) -> list[list[int]]:
-    out: list[list[int]] = [[] for _ in range(max(assigned) + 1)]
+def _bins(sizes: list[int], assigned: list[int]) -> list[Held]:
+    out = [Held() for _ in range(max(assigned) + 1)]
     for i, b in enumerate(assigned):
         out[b].append(i)
+    for held in out:
+        held.filled = fill(sizes, held)
     return out
 
 
-def _assigned(bins: list[list[int]], n: int) -> list[int]:
+def _assigned(bins: list[Held], n: int) -> list[int]:
     out = [0] * n
     for b, held in enumerate(bins):
         for i in held:
@@ -179,7 +202,7 @@ def evolve(sizes: list[int], population: list[list[int]], capacity: int, seed: i
     """An epoch of one island: the elite's assignments of pieces to bins, best first."""
     rng = random.Random(seed)
     least = -(-sum(sizes) // capacity)
-    living = [_bins(assigned) for assigned in population]
+    living = [_bins(sizes, assigned) for assigned in population]
     spread = 0.0 if not seed % ISLANDS else 0.2
     while len(living) < POPULATION:
         order = sorted(range(len(sizes)), key=lambda i: -sizes[i] * (1 + rng.uniform(-spread, spread)))
@@ -224,11 +247,10 @@ def _placer(capacity: int):
             rows = []
             for r in batch.to_pylist():
                 sizes = r["sizes"]
-                bins = _bins(r["best"])
-                for b, held in enumerate(bins):
-                    at, whole = 0, fill(sizes, held)
+                for b, held in enumerate(_bins(sizes, r["best"])):
+                    at = 0
                     for i in held:
-                        rows.append((r["items"][i], r["block"], b, at, whole))
+                        rows.append((r["items"][i], r["block"], b, at, held.filled))
                         at += sizes[i]
             columns = list(zip(*rows)) or [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -248,7 +270,7 @@ def _search(items: DataFrame, capacity: int, blocks: int, scratch: Scratch, name
         F.col("p.length").alias("sizes"),
         F.array().cast("array<array<int>>").alias("population"),
     )
-    spread = max(1, min(blocks * ISLANDS, 100_000))
+    spread = max(1, min(-(-blocks * ISLANDS // ISLANDS_A_TASK), 100_000))
     for epoch in range(EPOCHS):
         dealt = state.repartition(spread, "block", "island")
         state = scratch.save(dealt.mapInArrow(_evolver(capacity, epoch), STATE_DDL), f"{name}-{epoch}")

@@ -100,3 +100,17 @@ def test_fitness_is_worked_out_once_a_packing(monkeypatch):
     sizes = [rng.randrange(600, 1000) for _ in range(300)]  # two of a sequence: the least number is out of reach
     packing.evolve(sizes, [], 2048, 1)
     assert len(asked) == packing.POPULATION + packing.GENERATIONS * (packing.POPULATION // 2)
+
+
+def test_fills_are_not_added_up_again(monkeypatch):
+    """Each packing of the population is added up once, whatever crossover and mutation do to it."""
+    rng = random.Random(6)
+    sizes = [rng.randrange(600, 1000) for _ in range(300)]
+    start = [packing._assigned(best_fit(sizes, list(range(300)), [], 2048), 300) for _ in range(2)]
+    asked, fill = [], packing.fill
+    monkeypatch.setattr(packing, "fill", lambda sizes, held: asked.append(1) or fill(sizes, held))
+    found = packing.evolve(sizes, start, 2048, 1)
+    assert len(asked) == sum(max(assigned) + 1 for assigned in start)
+    for assigned in found:
+        for held in packing._bins(sizes, assigned):
+            assert held.filled == sum(sizes[i] for i in held) <= 2048
