@@ -136,6 +136,16 @@ class _Rows:
         )
 
 
+def _in_order(runs: pa.ListArray) -> tuple[list[tuple[int, int]], list[int]]:
+    """(start and number of windows, anchor) of the runs, text by text in order of start, and where each text's begin."""
+    ends = runs.offsets.to_numpy()
+    held = dict(zip((f.name for f in runs.type.value_type), runs.flatten().flatten()))
+    pack, anchor = held["pack"].to_numpy() & ((1 << 40) - 1), held["anchor"].to_numpy()
+    text = np.repeat(np.arange(len(runs)), np.diff(ends))
+    order = np.lexsort((anchor, pack >> 32, pack & 0xFFFFFFFF, text))
+    return list(zip(pack[order].tolist(), anchor[order].tolist())), (ends - ends[0]).tolist()
+
+
 def _cutter(unit: Unit):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Rows(SEGMENT_ROW)
@@ -144,14 +154,15 @@ def _cutter(unit: Unit):
             docs = batch.column(0).to_pylist()
             tags = batch.column(1).to_pylist()
             texts = _texts(batch, 2)
-            runs = batch.column(3)
+            runs, ends = _in_order(batch.column(3))
             for i in sorted(range(len(docs)), key=docs.__getitem__):
-                doc, tag, of = docs[i], tags[i], unit.cutter(texts[i])
-                pairs = sorted((*_start_n(r["pack"]), r["anchor"]) for r in runs[i].as_py())
-                for start, n, anchor in pairs:
-                    data = of(start, n)
-                    settled = unit.later((doc, start), first.setdefault((data, n), (doc, start)))
-                    out.rows.append((anchor, doc, _pack(start, n, tag), None if settled else data))
+                doc, tag, of = docs[i], tags[i] << 40, unit.cutter(texts[i])
+                for pack, anchor in runs[ends[i] : ends[i + 1]]:
+                    start, n = pack & 0xFFFFFFFF, pack >> 32
+                    data, place = of(start, n), (doc, start)
+                    earliest = first.setdefault((data, n), place)
+                    settled = earliest is not place and unit.later(place, earliest)
+                    out.rows.append((anchor, doc, pack | tag, None if settled else data))
                 if out.full():
                     yield out.batch()
         yield out.batch()

@@ -1,10 +1,10 @@
 """Suffix-array dedup by longest-previous-factor arrays over UTF-8 bytes.
 
-In each group of segments that share an anchor (``anchors``) the suffixes are sorted. For a
-suffix, the nearest ones before and after it in that order which start earlier in the corpus
-(smaller doc_id, or same document and smaller start) are its longest earlier matches; where
-the longer of both reaches ``WINDOW`` bytes, the window is a later copy and goes. The first
-copy has no earlier neighbour and stays.
+In each group of segments that share an anchor (``anchors``) the suffixes are sorted, those that
+agree in ``WINDOW`` bytes by their place in the corpus. For such a suffix, the nearest one before
+it in that order which starts earlier in the corpus (smaller doc_id, or same document and smaller
+start) is its longest earlier match as far as that matters; where it reaches ``WINDOW`` bytes, the
+window is a later copy and goes. The first copy has no earlier neighbour and stays.
 
 Defined cases: a null text has no bytes; a null doc_id is neither smaller nor larger than
 another, so its document stays whole; rows repeated with id and text do not count against
@@ -15,7 +15,9 @@ are binary.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, chain, repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,35 +51,32 @@ def nearest_smaller(values: list) -> list[int]:
 
 def later_windows(segments: list[Segment], window: int) -> list[tuple[int, int]]:
     """(segment, window) of the suffixes whose longest previous factor has ``window`` bytes or more."""
-    suffixes = sorted(
-        (s.data[j : j + window], s.doc, s.start + j, i, j)
-        for i, s in enumerate(segments)
-        for j in range(s.n)
-    )
-    # Suffixes of one stretch agree in ``window`` bytes with each of that stretch.
-    stretch, number = [], -1
-    before = None
-    for text, *_ in suffixes:
-        number += text != before
-        stretch.append(number)
-        before = text
-    places = [(doc, start) for _, doc, start, _, _ in suffixes]
-    previous = nearest_smaller(places)
-    following = [len(places) - 1 - p for p in nearest_smaller(places[::-1])][::-1]
+    texts = [s.data[j : j + window] for s in segments for j in range(s.n)]
+    if len(set(texts)) == len(texts):
+        return []
+    seen = Counter(texts)
+    rank = {doc: n for n, doc in enumerate(sorted({s.doc for s in segments}))}
+    begins = [(rank[s.doc] << 32) + s.start for s in segments]
+    places = list(chain.from_iterable(range(at, at + s.n) for at, s in zip(begins, segments)))
+    # A suffix whose first ``window`` bytes stand nowhere else has a shorter factor: it is not sorted.
+    suffixes = [k for k, text in enumerate(texts) if seen[text] > 1]
+    suffixes.sort(key=places.__getitem__)
+    suffixes.sort(key=texts.__getitem__)
+    # Suffixes that agree in ``window`` bytes stand together in the order of their places, so the one that
+    # starts earlier than another of them is before it.
+    previous = nearest_smaller([places[k] for k in suffixes])
+    ordered = [texts[k] for k in suffixes]
+    owner = list(chain.from_iterable(repeat(i, s.n) for i, s in enumerate(segments)))
+    first = list(accumulate((s.n for s in segments), initial=0))
     return [
-        (i, j)
-        for n, (_, _, _, i, j) in enumerate(suffixes)
-        if (previous[n] >= 0 and stretch[previous[n]] == stretch[n])
-        or (following[n] < len(places) and stretch[following[n]] == stretch[n])
+        (owner[k], k - first[owner[k]])
+        for k, text, p in zip(suffixes, ordered, previous)
+        if p >= 0 and ordered[p] == text
     ]
 
 
 def _settle(window: int):
     def settle(segments: list[Segment]) -> Iterator[tuple[int, int, int]]:
-        if len(segments) == 1:
-            data, n = segments[0].data, segments[0].n
-            if len({data[j : j + window] for j in range(n)}) == n:
-                return iter(())
         return joined_runs(later_windows(segments, window))
 
     return settle

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import random
 
+import pyarrow as pa
 import pytest
 
+from martloom.llm import segments, suffix_array_dedup
+from martloom.llm.segments import Segment
 from martloom.llm.substring_dedup import dedup_substrings
 from martloom.llm.suffix_array_dedup import dedup_bytes, nearest_smaller
 
@@ -118,3 +122,28 @@ def test_empty_table(spark):
 
 def test_nearest_smaller():
     assert nearest_smaller([3, 1, 2, 2, 0, 5]) == [-1, -1, 1, 1, -1, 4]
+
+
+def test_only_suffixes_that_repeat_are_sorted(monkeypatch):
+    rng = random.Random(4)
+    shared = rng.randbytes(14)
+    parts = [Segment(d, at, 15, rng.randbytes(5) + shared + rng.randbytes(5)) for d, at in [(9, 0), (-3, 7), (9, 40), (2, 1 << 31)]]
+    parts += [Segment(2, 100, 11, b"ab" * 10), Segment(2, 100, 11, b"ab" * 10)]  # of two rows of one doc_id
+    ranked, nearest = [], suffix_array_dedup.nearest_smaller
+    monkeypatch.setattr(suffix_array_dedup, "nearest_smaller", lambda values: ranked.append(len(values)) or nearest(values))
+    found = suffix_array_dedup.later_windows(parts, 10)
+    places = [(s.data[j : j + 10], (s.doc, s.start + j), (i, j)) for i, s in enumerate(parts) for j in range(s.n)]
+    least = {}
+    for text, place, _ in places:
+        least[text] = min(least.get(text, place), place)
+    assert sorted(found) == sorted(at for text, place, at in places if place > least[text])
+    assert ranked == [4 * 5 + 2 * 11]
+    assert suffix_array_dedup.later_windows([Segment(1, 0, 11, bytes(range(20)))], 10) == [] and len(ranked) == 1
+
+
+def test_runs_of_texts_in_order():
+    run = pa.struct([("pack", pa.int64()), ("anchor", pa.int64())])
+    kind, tag = segments.LATER << 60, 5 << 40
+    rows = [[{"pack": 9}], [{"pack": 7 | 2 << 32 | tag | kind, "anchor": -4}, {"pack": 3 | 1 << 32 | tag, "anchor": 8}], [], [{"pack": 0, "anchor": 1}]]
+    runs, ends = segments._in_order(pa.array(rows, pa.list_(run)).slice(1))
+    assert runs == [(3 | 1 << 32, 8), (7 | 2 << 32, -4), (0, 1)] and ends == [0, 2, 2, 3]
