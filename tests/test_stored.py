@@ -8,11 +8,13 @@ import json
 import os
 from datetime import datetime
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from martloom.plans import dumps, stored
+from martloom.plans import dumps, refresh, stored
 from martloom.plans.refresh import load_raw
-from martloom.schemas import EVENT_LOGS
+from martloom.schemas import EVENT_LOGS, RAW_TABLES, USER_SESSIONS
 from martloom.sources import dump
 from martloom.sources.documents import documents_from
 from martloom.sources.warehouse import CLEAN_UP, JOINED_BYTES, READ_BYTES, TASK_ROWS, Warehouse
@@ -153,3 +155,68 @@ def test_derivation_follows_the_rows(spark, tmp_path):
     for name, count in zip(stored.SOURCES, (3, 1, 2)):
         spark.range(count).write.parquet(f"{tmp_path}/{name}.parquet")
     assert stored._most_rows(spark, str(tmp_path)) == 3
+
+
+def _loads(spark, days):
+    """A frame of documents for each (day, first, end) of keys."""
+    text = "to_json(struct(string(id) AS event_id, '2024-01-01T00:00:00' AS timestamp, '{}' AS event_type)) AS text"
+    return [documents_from(spark.range(*keys).selectExpr(text.format(day), "id AS n"), "text", ["n"]) for day, keys in days.items()]
+
+
+def test_stored_parts_are_merged_without_a_sort(spark, tmp_path):
+    """Buckets are stored in the order of their keys."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2, compact_share=5)
+    with warehouse.begin() as run:
+        first, second = _loads(spark, {"a": (0, 40), "b": (30, 50)})
+        load_raw(run, EVENT_LOGS, first, datetime(2024, 2, 1))
+        run.commit()
+    with warehouse.begin() as run:
+        assert load_raw(run, EVENT_LOGS, second, datetime(2024, 2, 2)).rows == 50
+        run.widen()
+        rows = run.read(EVENT_LOGS)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Sort [" not in plan and "Exchange" not in plan
+        assert rows.where("event_type = 'b'").count() == 20 and rows.count() == run.count(EVENT_LOGS) == 50
+        assert run.count(USER_SESSIONS) == 0
+    warehouse.drop()
+
+
+def test_marts_read_tables_that_are_compacted(spark, tmp_path, monkeypatch):
+    """What a run rewrites anyway is rewritten before its marts merge it; a run that fails keeps what tells its changes."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2, compact_share=0, keep=3)
+    nothing = documents_from(spark.createDataFrame([], "n int, text string"), "text", ["n"])
+    seen, build = [], refresh.build_mart
+
+    def look(run, mart, *more):
+        seen.append(len(run.versions[EVENT_LOGS.name].parts))
+        return build(run, mart, *more)
+
+    monkeypatch.setattr(refresh, "build_mart", look)
+    for n, documents in enumerate(_loads(spark, {"a": (0, 20), "b": (10, 30)}), 1):
+        sources = {t.collection: documents if t is EVENT_LOGS else nothing for t in RAW_TABLES.values()}
+        refresh.refresh(spark, sources, warehouse, datetime(2024, 2, n))
+    assert seen == [1] * 8
+
+    def fail(*_):
+        raise ValueError("no mart")
+
+    monkeypatch.setattr(refresh, "build_mart", fail)
+    with pytest.raises(RuntimeError, match="no mart"):
+        refresh.refresh(spark, sources, warehouse, datetime(2024, 2, 3))
+    with warehouse.begin(resume=True) as run:
+        assert len(run.versions[EVENT_LOGS.name].parts) == 2 and run.count(EVENT_LOGS) == 30
+    warehouse.drop()
+
+
+def test_batches_are_made_by_compiled_code(spark, tmp_path, monkeypatch):
+    """``array_compact`` interprets what makes the texts."""
+    schema = "event_id string, timestamp timestamp_ntz, event_type string, details string"
+    plans, text = [], DataFrameWriter.text
+
+    def look(writer, path, *more, **options):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        text(writer, path, *more, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", look)
+    stored._write_batches(spark, {EVENT_LOGS: spark.createDataFrame(ROWS, schema)}, str(tmp_path))
+    assert len(plans) == 1 and "filter(" not in plans[0] and "lambda" not in plans[0]
