@@ -208,6 +208,24 @@ def test_marts_read_tables_that_are_compacted(spark, tmp_path, monkeypatch):
     warehouse.drop()
 
 
+def test_changed_rows_are_merged_once(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2, compact_share=5)
+    first, second = _loads(spark, {"a": (0, 200), "b": (100, 300)})
+    load_raw(warehouse, EVENT_LOGS, first, datetime(2024, 2, 1))
+    with warehouse.begin() as run:
+        load_raw(run, EVENT_LOGS, second, datetime(2024, 2, 2))
+        run.widen()
+        before, after = refresh.changed_rows(run, EVENT_LOGS)
+        for rows, kind, first in ((before, "a", 100), (after, "b", 100)):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "Exchange" not in plan
+            assert rows.columns == EVENT_LOGS.schema.names
+            keys = sorted(int(r.event_id) for r in rows.where(F.col("event_type") == kind).collect())
+            assert keys == list(range(first, 200 if kind == "a" else 300))
+        assert (before.count(), after.count()) == (100, 200)
+    warehouse.drop()
+
+
 def test_batches_are_made_by_compiled_code(spark, tmp_path, monkeypatch):
     """``array_compact`` interprets what makes the texts."""
     schema = "event_id string, timestamp timestamp_ntz, event_type string, details string"
